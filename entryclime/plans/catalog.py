@@ -20,7 +20,7 @@ from entryclime.operators import filters, joins, quality
 from entryclime.operators.dedup import apply_overrides, distinct_rows, first_per_key
 from entryclime.plans import fixtures as fx
 from entryclime.plans import jobs
-from entryclime.session import scratch_path
+from entryclime.session import scratch_path, write_stage
 from entryclime.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -748,13 +748,19 @@ def insert_dimension(spark: SparkSession, d: str) -> DataFrame:
 
 # -------------------------------------------------------------- full run (M16)
 def full_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Ports -> airports -> ports v2; climatology -> city temperature; fact; gate; analytical."""
+    """Ports -> airports -> ports v2; climatology -> city temperature; fact; gate; analytical.
+
+    Every step hands its table to the next through the shared folder (as the
+    scheduled jobs do), the quality gate runs on those written tables, and
+    the analytical step starts from plain scans.
+    """
     ports = port_dimension(spark, d)
     airport_port = jobs.airport_port_join(airport_rows(spark, d), ports, allow=AIRPORT_ALLOW, deny=AIRPORT_DENY)
-    ports2 = jobs.port_dimension_v2(airport_port)
+    ports2 = write_stage(jobs.port_dimension_v2(airport_port), "ports_v2")
     clim = jobs.city_climatology(temperature_rows(spark, d), window=fx.CLIMATE_WINDOW)
-    temp = jobs.monthly_temperature(jobs.city_temperature(clim, gazetteer_rows(spark, d)))
-    fact = jobs.entry_fact(fact_raw(spark, d))
+    temp = write_stage(jobs.monthly_temperature(jobs.city_temperature(clim, gazetteer_rows(spark, d))),
+                       "monthly_temperature")
+    fact = write_stage(jobs.entry_fact(fact_raw(spark, d)), "entry_fact", ["entry_year", "entry_month"])
     quality.assert_quality(quality.row_counts({"ports": ports2, "temperature": temp, "fact": fact}))
     a = jobs.analytical_table(fact, ports2, temp)
     return a.select("i94port_city_code", "city", "state_code", _r6("average_temperature").alias("average_temperature"),

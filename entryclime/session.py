@@ -53,3 +53,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a pipeline stage as parquet in the shared folder and return it read back.
+
+    The hand-over between pipeline steps: durable (a lost executor re-reads
+    files instead of recomputing the lineage) and columnar, and the next
+    step's plan starts from a plain scan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
