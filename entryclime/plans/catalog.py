@@ -543,6 +543,22 @@ def fact_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def retention_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Rows into and out of the fact cleaning job and the share kept (one row, two scalar subqueries)."""
+    raw = fact_raw(spark, d)
+    fact = jobs.entry_fact(raw)
+    r = jobs.retention(raw, fact)
+    return r.select("n_in", "n_out", _r6("retention").alias("retention"))
+
+
+def missing_histogram(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per ``departure IS NULL`` and distinct departure days per group, null counted as a value."""
+    raw = fact_raw(spark, d)
+    h = raw.groupBy(F.col("depdate").isNull().alias("is_null")).agg(
+        F.count(F.lit(1)).alias("n_rows"), agg.distinct_count_with_null("depdate").cast("long").alias("n_distinct"))
+    return h
+
+
 def fact_clean(spark: SparkSession, d: str) -> DataFrame:
     f = jobs.entry_fact(fact_raw(spark, d))
     return f.select(*[_long(c).alias(c) if c in jobs.FACT_INT_COLUMNS else F.col(c) for c in jobs.FACT_COLUMNS])
@@ -813,6 +829,8 @@ QUERIES: dict[str, Query] = {
     "quality_counts": quality_counts,
     "port_dimension": port_dimension,
     "fact_clean": fact_clean,
+    "retention_audit": retention_audit,
+    "missing_histogram": missing_histogram,
     "airport_port_join": airport_port_join,
     "city_temperature_dim": city_temperature_dim,
     "entity_profiles": entity_profiles,

@@ -215,6 +215,14 @@ def entry_fact(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) ->
     return first_per_key(fact, ["cicid"])
 
 
+def retention(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """(n_in, n_out, retention) of a cleaning step; each count is a scalar subquery."""
+    n_in = raw.agg(F.count(F.lit(1))).scalar()
+    n_out = cleaned.agg(F.count(F.lit(1))).scalar()
+    one = raw.sparkSession.range(1)
+    return one.select(n_in.alias("n_in"), n_out.alias("n_out"), (n_out / n_in).alias("retention"))
+
+
 # -------------------------------------------------------- M9 analytical table
 def analytical_table(fact: DataFrame, ports: DataFrame, temperature: DataFrame,
                      port_key: str = "i94port_city_code") -> DataFrame:

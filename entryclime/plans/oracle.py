@@ -471,6 +471,14 @@ FROM nation n LEFT JOIN region r ON n.n_nationkey = r.r_regionkey""",
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) >= 1 AS passed FROM {t}" for t in ALL_TABLES),
     "port_dimension": f"WITH {_port_dim_ctes()} SELECT i94port_code, city, state_code, state_name FROM ports",
     "fact_clean": f"WITH {_fact_clean_ctes()} SELECT {', '.join(FACT_COLS)} FROM fact_clean",
+    "retention_audit": f"""WITH {_fact_clean_ctes()}
+SELECT (SELECT count(*) FROM raw) AS n_in, (SELECT count(*) FROM fact_clean) AS n_out,
+       round((SELECT count(*) FROM fact_clean) / (SELECT count(*) FROM raw), 6) AS retention""",
+    "missing_histogram": """WITH t AS (SELECT CASE WHEN o.o_orderstatus = 'O' THEN NULL ELSE CAST(o.o_orderdate AS DATE) END AS dep
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+SELECT dep IS NULL AS is_null, count(*) AS n_rows,
+       CAST(count(DISTINCT dep) + max(CASE WHEN dep IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct
+FROM t GROUP BY 1""",
     "airport_port_join": f"""WITH {_airport_ctes()}
 SELECT ident AS airport_id, type AS airport_type, name AS airport_name, i94port_code, state_code,
        round(elevation_ft, 6) AS elevation_ft, round(longitude, 6) AS airport_longitude,

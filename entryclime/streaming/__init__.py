@@ -1,0 +1,9 @@
+"""Streaming.
+
+The source project has no streaming sources, watermarks, windows or state:
+every input is a static monthly file set, and the only time-driven behaviour
+is a monthly schedule. Its data side is re-expressed as batch operations
+(``sources.readers.read_months`` for a month range in one scan and
+``sources.writers.write_parquet(..., dynamic=True)`` for re-runs that replace
+only their own months). No streaming operator is invented here.
+"""
