@@ -17,6 +17,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from entryclime.functions import dates
 from entryclime.operators import joins
@@ -29,8 +30,19 @@ RECOVERY_WINDOW = ("2000-01-01", "2000-04-01")
 NATION_BOUND = 1_000              # nation / region are fixed code books
 
 
+# Footer schemas already read, by path: a later scan of the same table starts from the
+# schema instead of launching another inference job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
