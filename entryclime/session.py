@@ -63,7 +63,7 @@ def write_stage(df: DataFrame, name: str, partition_by: list[str] | None = None)
     step's plan starts from a plain scan.
     """
     path = scratch_path(df.sparkSession, name)
-    w = df.write.mode("overwrite")
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -1,10 +1,13 @@
 """Writers: partitioned parquet / CSV sinks, monthly exports, table inserts.
 
 Writes partition only by low-cardinality columns (year, month): a third
-level such as port x state produces many tiny files. Spark's writer sorts
-rows by the partition columns inside each task, so every task keeps one
-open file at a time; ``max_records_per_file`` bounds file size when one
-month dominates.
+level such as port x state produces many tiny files. Before a partitioned
+write the rows are rebalanced on the partition columns (the ``rebalance``
+hint): under AQE small partitions are coalesced and a month holding a third
+of all rows is split over several tasks, so every folder gets a few sizeable
+files instead of one file per (task, month). Spark's writer sorts rows by the
+partition columns inside each task, so every task keeps one open file at a
+time; ``max_records_per_file`` bounds file size.
 """
 
 from __future__ import annotations
@@ -12,11 +15,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def rebalanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """``df`` rebalanced on ``partition_by`` (AQE splits skewed and merges small partitions)."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite", dynamic: bool = False,
                   max_records_per_file: int = 5_000_000) -> str:
     """Parquet sink; ``dynamic`` replaces only the partitions present in ``df``."""
-    w = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    w = rebalanced(df, partition_by).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
@@ -28,7 +36,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, header: bool = True,
               sep: str = ",", mode: str = "overwrite") -> str:
     """CSV sink without an index column; one folder per partition value."""
-    w = df.write.mode(mode).option("header", header).option("sep", sep)
+    w = rebalanced(df, partition_by).write.mode(mode).option("header", header).option("sep", sep)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
