@@ -7,7 +7,7 @@ parameter baked into the logic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entryclime.functions import dates, geo, text
@@ -276,15 +276,20 @@ def port_series(matrix: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def complete_series(analytical: DataFrame, keys: list[str] | None = None, month_col: str = "entry_month",
-                    n_months: int = 12) -> DataFrame:
+                    months: list[int] = agg.MONTHS) -> DataFrame:
     """Long rows of the keys that have every month (what the wide matrix keeps), without a pivot.
 
-    The complete keys come from a small grouped count and are semi-joined back.
+    One window per key ORs a bit per month present and keeps the keys whose
+    mask has every month's bit: the input is read once, with no join back.
+    The input is already aggregated (about one row per key and month), so a
+    window partition holds a dozen rows however skewed the raw data was.
     """
     keys = keys or ["i94port_city_code", "city", "state_code", "entry_year"]
-    full = (analytical.groupBy(*keys).agg(F.count_distinct(month_col).alias("_m"))
-            .where(F.col("_m") == n_months).drop("_m"))
-    return analytical.join(full, keys, "left_semi")
+    full = sum(1 << m for m in months)
+    bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), CAST(`{month_col}` AS INT))")
+    seen = F.bit_or(F.when(F.col(month_col).isin(months), bit).otherwise(F.lit(0).cast("long"))
+                    ).over(Window.partitionBy(*keys))
+    return analytical.withColumn("_months", seen).where(F.col("_months") == F.lit(full)).drop("_months")
 
 
 def port_regression(series: DataFrame, keys: list[str] | None = None) -> DataFrame:
