@@ -132,3 +132,20 @@ def test_top_profiles_bounded(spark):
     got = jobs.top_profiles(df, ["a", "b"], 2).collect()
     assert sorted((r.dimension, r["rank"]) for r in got) == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
     assert F is not None
+
+
+def test_complete_series_keeps_only_full_years(spark):
+    # port 1: all 12 months; port 2: month 7 missing; port 3: 12 months but one twice
+    rows = [(1, 2016, m, 10.0 + m, 5) for m in range(1, 13)]
+    rows += [(2, 2016, m, 3.0, 1) for m in range(1, 13) if m != 7]
+    rows += [(3, 2016, m, 1.0, 2) for m in range(1, 13)] + [(3, 2016, 4, 2.0, 9)]
+    df = spark.createDataFrame(rows, "i94port_city_code int, entry_year int, entry_month int, "
+                                     "average_temperature double, count int")
+    got = jobs.complete_series(df, ["i94port_city_code", "entry_year"])
+    assert got.columns == df.columns
+    kept = {r.i94port_city_code: r.n for r in got.groupBy("i94port_city_code").agg(F.count("*").alias("n")).collect()}
+    assert kept == {1: 12, 3: 13}
+    # the brute-force rule: a key is complete when its distinct months are exactly 1..12
+    brute = (df.groupBy("i94port_city_code", "entry_year").agg(F.count_distinct("entry_month").alias("m"))
+               .where("m = 12").select("i94port_city_code").collect())
+    assert sorted(r[0] for r in brute) == sorted(kept)
