@@ -112,3 +112,20 @@ def test_unit_cells_cover_threshold():
     # a chord shorter than the cell edge can never skip a neighbouring cell
     edge = geo.cell_size_for(180.0)
     assert edge > 2 * math.sin(180.0 / 6335.0 / 2)
+
+
+def test_partitioned_write_is_rebalanced(spark, tmp_path):
+    from entryclime.sources import writers
+
+    # 40 scattered input partitions, 3 months, one of them holding most rows
+    df = (spark.range(0, 6000, numPartitions=40)
+          .select("id", F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise(F.col("id") % 3 + 2).alias("month")))
+    path = str(tmp_path / "by_month")
+    writers.write_parquet(df, path, ["month"])
+    files = {p.name: [f for f in p.iterdir() if f.name.endswith(".parquet")]
+             for p in (tmp_path / "by_month").iterdir() if p.is_dir()}
+    assert set(files) == {"month=1", "month=2", "month=3", "month=4"}
+    # without the rebalance each folder would get one file per input task (up to 40)
+    assert all(1 <= len(v) <= 2 for v in files.values())
+    back = spark.read.parquet(path)
+    assert back.count() == 6000 and back.groupBy().sum("id").first()[0] == sum(range(6000))
