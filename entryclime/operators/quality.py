@@ -29,6 +29,21 @@ def row_counts(tables: dict[str, DataFrame], min_rows: int = 1) -> DataFrame:
     return union.withColumn("passed", F.col("n_rows") >= F.lit(min_rows))
 
 
+def duplicate_keys(df: DataFrame, keys: list[str], values: list[str] | None = None) -> DataFrame:
+    """Keys that occur more than once: ``(keys..., n_rows, n_versions)``.
+
+    ``n_versions`` counts the distinct ``values`` tuples under the key: 1 means
+    the repeats are exact copies (e.g. one city matched by two gazetteer points
+    in the same state), more means the key really carries conflicting values.
+    One grouped aggregate; lazy, so the caller decides whether to count,
+    sample or write the offending keys.
+    """
+    vals = values or [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"),
+                              F.count_distinct(F.struct(*vals)).alias("n_versions"))
+    return g.where(F.col("n_rows") > 1)
+
+
 def parquet_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     """Tables listed at check time (not when the pipeline is defined)."""
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
