@@ -2,14 +2,14 @@
 
 Intermediate tables and I/O round trips are written under the folder the
 cluster names in ``spark.checkpoint.dir`` (a shared, fault-tolerant location).
-Only a local-mode session without that setting (tests) gets a temporary
-folder of its own; a cluster session without it is an error, because a
-machine-local folder would not survive the loss of an executor.
+A session without that setting falls back to a folder beside its warehouse
+tables (``spark.sql.warehouse.dir``), which every executor shares as well; a
+machine-local temporary folder is never used. The caller's configuration is
+only read. ``clear_scratch`` removes everything a session has written here.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,35 +18,42 @@ _KEY = "spark.checkpoint.dir"
 
 
 def _configured_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
-    for get in (lambda: spark.conf.get(_KEY, None), lambda: sc.getConf().get(_KEY, None)):
-        try:
-            value = get()
-        except Exception:  # noqa: BLE001 - conf lookups differ across deployments
-            value = None
-        if value:
-            return value
-    current = sc._jsc.sc().getCheckpointDir()
+    value = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY, None)
+    if value:
+        return value
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
     return current.get() if current.isDefined() else None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set up only for local sessions that lack one."""
-    found = _configured_dir(spark)
-    sc = spark.sparkContext
-    if found is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(f"set {_KEY} to a shared folder (e.g. on the cluster file system)")
-        found = tempfile.mkdtemp(prefix="entryclime-ckpt-")
-        spark.conf.set(_KEY, found)
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(found)
+    """The shared folder: the named checkpoint folder, else one beside the warehouse tables."""
+    found = _configured_dir(spark) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def _root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/entryclime/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one write."""
-    return f"{shared_dir(spark).rstrip('/')}/entryclime/{name}-{uuid.uuid4().hex}"
+    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written under the shared folder.
+
+    Results returned as lazy frames read those files, so call this once they
+    have been consumed (the bench and the tests do, between queries and at the end).
+    """
+    _delete(spark, _root(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -66,5 +73,9 @@ def write_stage(df: DataFrame, name: str, partition_by: list[str] | None = None)
     w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows per written file, so that one task's output stays splittable for the next reader.
+MAX_RECORDS_PER_FILE = 5_000_000
