@@ -6,21 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entryclime.llm import exact_dedup, sharding
+from entryclime.llm import bpe, exact_dedup, sharding, simhash
 from entryclime.llm.common import table
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file is installed (the same on every machine)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts and the SHA-256 of its normalised text."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its SimHash fingerprint and the smallest id of its near-duplicate group."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of equal bytes."""
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the 50k byte-level BPE file, as digests."""
+    return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_simhash": op5_simhash,
     "op8_sharding": op8_sharding,
+    "op9_bpe": op9_bpe,
 }
