@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entryclime.llm import bpe, exact_dedup, sharding, simhash
+from entryclime.llm import bpe, decontaminate, exact_dedup, sharding, simhash
 from entryclime.llm.common import table
 
 
@@ -22,6 +22,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) with a verified shared passage."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("_h")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its SimHash fingerprint and the smallest id of its near-duplicate group."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -39,6 +45,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op8_sharding": op8_sharding,
     "op9_bpe": op9_bpe,
