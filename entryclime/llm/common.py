@@ -48,6 +48,15 @@ def drop_rows(docs: DataFrame, out: DataFrame, id_col: str, text_col: str) -> Da
     return docs.join(marked, hit, "left_anti")
 
 
+def one_row_each(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of the rows keyed in ``keys``, the least whole row of each key; columns unchanged."""
+    marked = keys.select(F.col("_id").alias("_in_id"), F.col("_h").alias("_in_h")).distinct()
+    hit = (F.col(id_col).eqNullSafe(marked["_in_id"])
+           & (F.xxhash64(text_or_empty(text_col)) == marked["_in_h"]))
+    return (docs.join(marked, hit, "left_semi").groupBy(*[k.alias(f"_g{i}") for i, k in enumerate(row_key(id_col, text_col))])
+            .agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")).select("_row.*"))
+
+
 def membership_words(keys: DataFrame, hashed: str) -> DataFrame:
     """A Bloom filter of one hash over the longs in ``hashed``, as at most ``FILTER_WORDS`` rows (``_word``, ``_bits``)."""
     return (keys.select(F.pmod(F.col(hashed), F.lit(FILTER_WORDS * 64)).alias("_at"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entryclime.llm import bpe, decontaminate, exact_dedup, sharding, simhash
+from entryclime.llm import bpe, decontaminate, exact_dedup, langid, sharding, simhash
 from entryclime.llm.common import table
 
 
@@ -43,10 +43,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its predicted language."""
+    return langid.identify_by_folds(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op8_sharding": op8_sharding,
     "op9_bpe": op9_bpe,
+    "op10_langid": op10_langid,
 }

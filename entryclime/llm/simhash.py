@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entryclime.llm.common import row_key, text_or_empty
+from entryclime.llm.common import drop_rows, one_row_each, row_key, text_or_empty
 from entryclime.llm.components import components
 from entryclime.session import write_stage
 
@@ -239,3 +239,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                 F.coalesce("_node", "fp").alias("_any")).drop("_any"), "simhash_components")
     return marked.join(of_fp, F.col("fp") == F.col("_fp"), "left").select(
         F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "_h")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
+                         max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, that of the smallest id; columns unchanged.
+
+    A null id comes after all others. Of rows that repeat the id, the one with the smaller text hash stays; of rows
+    that repeat id and text, one.
+    """
+    rows = write_stage(near_duplicates(docs, id_col, text_col, width, max_bits)
+                       .select(F.col("doc_id").alias("_id"), "_h", "component_id"), "simhash_verdict")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_h").alias("h")))
+    groups = write_stage(rows.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+                         .where("_n > 1").withColumnRenamed("component_id", "_component"), "simhash_groups")
+    grouped = rows.join(groups, F.col("component_id").eqNullSafe(F.col("_component")))
+    is_first = F.col("_id").eqNullSafe(F.col("_first.id")) & (F.col("_h") == F.col("_first.h"))
+    verdict = write_stage(grouped.groupBy("_id", "_h").agg(F.count(F.lit(1)).alias("_n"), F.max(is_first).alias("_stays"))
+                          .where("_n > 1 OR NOT _stays"), "simhash_out")
+    kept = drop_rows(docs, verdict, id_col, text_col)
+    repeats = verdict.where("_n > 1 AND _stays")
+    return kept if repeats.isEmpty() else kept.unionByName(one_row_each(docs, repeats, id_col, text_col))
