@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entryclime.llm import bpe, decontaminate, exact_dedup, langid, sharding, simhash
+from entryclime.llm import bpe, decontaminate, exact_dedup, langid, quality, sharding, simhash
 from entryclime.llm.common import table
 
 
@@ -17,6 +17,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score."""
+    return quality.score_by_folds(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts and the SHA-256 of its normalised text."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
@@ -50,6 +55,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
