@@ -91,7 +91,7 @@ def features_of(texts: list[str]) -> np.ndarray:
     per_word = np.maximum(words, 1)
     chars[:, _SPACE] += chars[:, _LINE]
     chars = np.delete(chars, _LINE, axis=1)  # line ends say more about a text's length than about its quality
-    visible = total - chars[:, _SPACE]
+    visible = chars.sum(axis=1) - chars[:, _SPACE]
     return np.column_stack([
         np.log1p(visible / per_word), next_same / per_word,
         np.log1p(distinct) / np.log1p(per_word), chars / total[:, None], word_sums / per_word[:, None],
