@@ -25,26 +25,21 @@ STAY_PATTERN_STRICT = r"(?i)^(?:[01][0-9][0-3][0-9]20[12][6-9]|D/S)"
 STAY_PATTERN_LOOSE = r"(?i)^(?:[0-1][\d]+[0-4]+[\d]+[\d]+[\d]+[\d]+|D/S)"
 
 
-def as_date(c: ColumnOrName) -> Column:
-    """Timestamp/string -> DATE (``try_to_date`` for text)."""
-    return F.to_date(_c(c))
-
-
 def iso_text_to_date(c: ColumnOrName) -> Column:
     return F.try_to_date(_c(c), "yyyy-MM-dd")
 
 
 def sas_to_date(c: ColumnOrName, epoch: str = SAS_EPOCH) -> Column:
-    """Days since ``epoch`` (a double) -> DATE; null and 0 both give null.
+    """Days since ``epoch`` (a double) -> DATE; null, NaN, 0 and days outside the calendar give null.
 
     Fractions are floored, as adding a fractional ``timedelta`` and taking the
     date part does.
     """
-    x = _c(c)
-    days = F.floor(x).cast("int")
-    return F.when(x.isNull() | (x == 0), F.lit(None).cast("date")).otherwise(
-        F.date_add(F.lit(_dt.date.fromisoformat(epoch)), days)
-    )
+    x = _c(c).cast("double")
+    first = _dt.date.fromisoformat(epoch)
+    low, high = (_dt.date.min - first).days, (_dt.date.max - first).days
+    days = F.when(~F.isnan(x) & (x != 0) & (x >= low) & (x < high + 1), F.floor(x).try_cast("int"))
+    return F.date_add(F.lit(first), days)
 
 
 def compact_to_date(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
@@ -86,8 +81,3 @@ def half_open(c: ColumnOrName, lo: str, hi: str) -> Column:
     """``lo <= c < hi`` on dates (the effective window of a string ``between``)."""
     x = _c(c)
     return (x >= F.lit(_dt.date.fromisoformat(lo))) & (x < F.lit(_dt.date.fromisoformat(hi)))
-
-
-def after(c: ColumnOrName, lo: str) -> Column:
-    """Strict ``c > lo``."""
-    return _c(c) > F.lit(_dt.date.fromisoformat(lo))

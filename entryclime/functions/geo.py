@@ -8,8 +8,6 @@ plain spherical distance.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -131,14 +129,6 @@ def lambert_km(lat1: ColumnOrName, lon1: ColumnOrName, lat2: ColumnOrName, lon2:
     return lambert_from_terms(point_terms(lat1, lon1), point_terms(lat2, lon2))
 
 
-def distance_km(lat1, lon1, lat2, lon2, method: str = "lambert") -> Column:
-    if method == "lambert":
-        return lambert_km(lat1, lon1, lat2, lon2)
-    if method == "haversine":
-        return haversine_km(lat1, lon1, lat2, lon2)
-    raise ValueError(f"unknown distance method {method!r}")
-
-
 def unit_vector(lat_deg: ColumnOrName, lon_deg: ColumnOrName) -> tuple[Column, Column, Column]:
     """Point on the unit sphere; used to bucket points into 3-D grid cells."""
     la, lo = _rad(_c(lat_deg)), _rad(_c(lon_deg))
@@ -154,7 +144,3 @@ def cell_size_for(max_km: float) -> float:
     covers the spherical approximation of the cell coordinates.
     """
     return max_km / 6335.0 * 1.05 + 1e-9
-
-
-def deg_per_km_lat() -> float:
-    return 180.0 / (math.pi * MEAN_RADIUS_KM)

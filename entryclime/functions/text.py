@@ -20,18 +20,18 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def remove_quotes(c: ColumnOrName) -> Column:
-    """Drop every single quote and surrounding blanks (``"'ALCAN, AK'"`` -> ``ALCAN, AK``)."""
-    return F.trim(F.translate(_c(c), "'", ""))
+    """Drop every single quote and surrounding white space (``"'ALCAN, AK'"`` -> ``ALCAN, AK``)."""
+    return F.regexp_replace(F.translate(_c(c), "'", ""), r"^\s+|\s+$", "")
 
 
 def collapse_spaces(c: ColumnOrName) -> Column:
     """Trim and squeeze runs of whitespace to one space."""
-    return F.regexp_replace(F.trim(_c(c)), r"\s+", " ")
+    return F.trim(F.regexp_replace(_c(c), r"\s+", " "))
 
 
 def last_token(c: ColumnOrName) -> Column:
     """Last whitespace-separated token (the state of ``'CITY NAME ST'``)."""
-    return F.element_at(F.split(F.trim(_c(c)), r"\s+"), -1)
+    return F.substring_index(collapse_spaces(c), " ", -1)
 
 
 def all_but_last_token(c: ColumnOrName) -> Column:

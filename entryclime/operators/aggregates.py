@@ -21,8 +21,9 @@ def null_counts(df: DataFrame, cols: list[str] | None = None,
 
 
 def null_histogram(df: DataFrame, col: str) -> DataFrame:
-    """Rows per ``col IS NULL`` value."""
-    return df.groupBy(F.col(col).isNull().alias("is_null")).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per ``col IS NULL`` value, and distinct values of ``col`` in each (null counted as one)."""
+    return df.groupBy(F.col(col).isNull().alias("is_null")).agg(
+        F.count(F.lit(1)).alias("n_rows"), distinct_count_with_null(col).cast("long").alias("n_distinct"))
 
 
 def share(pred: Column) -> Column:
@@ -119,11 +120,14 @@ def top_n_share(counts: DataFrame, n: int, count_col: str, order: list[Column],
                 rank_col: str = "rank", share_col: str = "top_share") -> DataFrame:
     """Top ``n`` rows of a grouped count plus the share of the total they cover.
 
-    Both sums are scalar subqueries (each a one-row aggregate evaluated once
-    and inlined as a literal), so nothing is joined and the full grouped
-    table is never pulled into one task.
+    The total is a scalar subquery over the counts (the second and last read);
+    the sum of the top rows is a window over those ``n`` rows.
     """
     top = top_n(counts, n, order, rank_col)
     total = counts.agg(F.sum(count_col)).scalar()
-    top_sum = top.agg(F.sum(count_col)).scalar()
-    return top.withColumn(share_col, top_sum / total)
+    return top.withColumn(share_col, F.try_divide(F.sum(count_col).over(Window.partitionBy()), total))
+
+
+def top_n_by(counts: DataFrame, group: str, n: int, order: list[Column], rank_col: str = "rank") -> DataFrame:
+    """Top ``n`` rows of each ``group``; every task keeps its own top ``n`` before the exchange."""
+    return ranked(counts, [group], order, rank_col).where(F.col(rank_col) <= n)

@@ -3,8 +3,9 @@
 ``first_per_key`` keeps, per key, the row that is smallest in a total order.
 It is written as ``min(struct(order..., rest...))`` in a ``groupBy``: the
 aggregate runs partially before the shuffle, so a key holding a third of all
-rows is already folded to one row per map task and no single task receives
-the hot group whole (a ``row_number`` window would ship the group to one task).
+rows is already folded to one row per map task. A ``row_number`` filter is
+folded before its exchange as well (Spark plans a partial window group limit);
+the aggregate is used because it needs one sort per side less on a wide order.
 """
 
 from __future__ import annotations
@@ -12,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entryclime.operators.joins import bounded_broadcast
-
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per ``keys``: the row with the smallest ``(order..., other columns...)``.
@@ -40,7 +39,7 @@ def apply_overrides(df: DataFrame, overrides: DataFrame, key: str, cols: list[st
     ``df`` do not add rows. ``overrides`` must be unique by ``key``.
     """
     o = overrides.select(F.col(key).alias("_okey"), *[F.col(c).alias(f"_o_{c}") for c in cols])
-    joined = df.join(bounded_broadcast(o), df[key] == o["_okey"], "left")
+    joined = df.join(o, df[key] == o["_okey"], "left")
     return joined.select(*[
         F.coalesce(F.col(f"_o_{c}"), df[c]).alias(c) if c in cols else df[c]
         for c in df.columns

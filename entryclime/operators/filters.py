@@ -50,5 +50,19 @@ def non_empty(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
+def not_null(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows without a null in ``cols``, as one condition per column."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols], F.lit(True)))
+
+
+def any_null(cols: list[str]) -> Column:
+    return any_of([F.col(c).isNull() for c in cols])
+
+
+def is_empty(col: str) -> Column:
+    """``col`` null or the empty string."""
+    return F.coalesce(F.col(col) == "", F.lit(True))
+
+
 def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.dropna(how="any", subset=subset)

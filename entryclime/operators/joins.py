@@ -1,106 +1,24 @@
-"""Join helpers: size-checked broadcast, proximity (distance) join, lookups.
-
-Broadcast policy
-----------------
-* ``bounded_broadcast`` hints a broadcast only after proving the side has at
-  most ``max_rows`` rows AND at most ``max_bytes`` bytes. One probe job over
-  ``limit(max_rows + 1)`` (it stops reading as soon as the row bound is
-  exceeded) returns the row count and the exact row bytes: fixed-width slots
-  plus the real length of every string / binary value, as the rows would be
-  laid out in the broadcast relation. The byte ceiling defaults to the
-  session's ``spark.sql.autoBroadcastJoinThreshold``. Above either bound the
-  plain DataFrame is returned and Spark plans a shuffle join. Use it for
-  scanned code books / dimensions.
-* Computed dimensions (aggregates) are *not* hinted: probing them would run
-  their lineage twice. AQE converts the sort-merge join to a broadcast join at
-  runtime when the materialised shuffle stage is under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` -- a checked size with the
-  shuffle join as the fallback.
+"""Join helpers: lookups, anti join, proximity (distance) join.
+
+No side is hinted. Scanned code books are small files, which Spark's own
+statistics put under ``spark.sql.autoBroadcastJoinThreshold``; computed
+dimensions are converted by adaptive execution once their size is known, with
+the shuffle join as the fallback. Building a plan launches no job.
 """
 
 from __future__ import annotations
 
 import itertools
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, BooleanType, DateType, NullType, NumericType, StringType,
-                               TimestampNTZType, TimestampType)
 
 from entryclime.functions import geo
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-# Verdicts of earlier probes in this process, keyed by (semantic plan hash, input files,
-# row bound). A side that is semantically the same plan over the same files is probed once.
-_PROBED: dict[tuple[int, tuple[str, ...], int], list[tuple[DataFrame, tuple[int, int]]]] = {}
-
-_VARIABLE = (StringType, BinaryType)
-_FIXED = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType, NullType)
-
-
-def _value_bytes(name: str, dtype) -> Column:
-    c = F.col(f"`{name}`")
-    if isinstance(dtype, _VARIABLE):
-        # variable-length bytes, padded to whole 8-byte words like an unsafe row
-        return F.coalesce(F.ceil(F.octet_length(c) / 8) * 8, F.lit(0))
-    if isinstance(dtype, _FIXED):
-        return F.lit(0)
-    return F.coalesce(F.ceil(F.octet_length(F.to_json(F.struct(c))) / 8) * 8, F.lit(0))
-
-
-def probe_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, reading at most ``max_rows + 1`` rows (one job)."""
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    for seen, found in _PROBED.get(key, []):
-        try:
-            if seen.sameSemantics(df):
-                return found
-        except Exception:  # noqa: BLE001 - a plan of a stopped session: probe again
-            continue
-    fields = df.schema.fields
-    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)   # null bits + one word per field
-    var = reduce(lambda a, b: a + b, [_value_bytes(f.name, f.dataType) for f in fields], F.lit(0))
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                     F.coalesce(F.sum(var.cast("long")), F.lit(0)).alias("v")).first()
-    found = (int(row["n"]), int(row["n"]) * fixed + int(row["v"]))
-    _PROBED.setdefault(key, []).append((df, found))
-    return found
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return probe_size(df, max_rows)[0] <= max_rows
-
-
-def broadcast_byte_limit(spark: SparkSession) -> int:
-    """The session's broadcast ceiling in bytes (``spark.sql.autoBroadcastJoinThreshold``)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    digits = raw.rstrip("bkmg")
-    unit = raw[len(digits):] or "b"
-    return int(float(digits) * units.get(unit, 1))
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it is proven to hold at most ``max_rows`` rows and ``max_bytes``
-    bytes (default: the session's broadcast threshold), else ``df`` unchanged."""
-    limit = broadcast_byte_limit(df.sparkSession) if max_bytes is None else max_bytes
-    if limit < 0:
-        return df
-    rows, size = probe_size(df, max_rows)
-    return F.broadcast(df) if rows <= max_rows and size <= limit else df
-
-
-def lookup(df: DataFrame, table: DataFrame, left_key: str, right_key: str, how: str = "inner",
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
     """Code -> attributes lookup with differently named keys; the right key is dropped."""
-    side = bounded_broadcast(table, broadcast_rows) if broadcast_rows else table
-    out = df.join(side, df[left_key] == side[right_key], how)
-    return out.drop(side[right_key]) if left_key != right_key else out
+    out = df.join(table, df[left_key] == table[right_key], how)
+    return out.drop(table[right_key]) if left_key != right_key else out
 
 
 def role_lookup(df: DataFrame, table: DataFrame, key: str, left_key: str, prefix: str,
@@ -111,8 +29,14 @@ def role_lookup(df: DataFrame, table: DataFrame, key: str, left_key: str, prefix
 
 
 def unmatched(df: DataFrame, reference: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Rows of ``df`` whose key is absent from ``reference`` (NOT EXISTS)."""
-    return df.join(reference, df[left_key] == reference[right_key], "left_anti")
+    """Rows of ``df`` whose key is absent from ``reference`` (NOT EXISTS).
+
+    The reference keys are made distinct first: the fold is partial inside
+    each task, so a key that holds a third of the reference is one row before
+    the exchange.
+    """
+    keys = reference.select(F.col(right_key).alias("_reference_key")).distinct()
+    return df.join(keys, df[left_key] == keys["_reference_key"], "left_anti")
 
 
 def proximity_join(

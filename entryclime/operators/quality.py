@@ -55,10 +55,16 @@ def csv_tables(spark: SparkSession, root: str, names: list[str], header: bool =
             for n in names if n.endswith(".csv")}
 
 
+def sql_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame]:
+    """Catalog tables by name."""
+    return {n: spark.table(n) for n in names}
+
+
 def assert_quality(checks: DataFrame) -> DataFrame:
-    """Raise ``QualityCheckError`` if any check failed; return ``checks`` otherwise."""
-    failed = checks.where(~F.col("passed")).select("table_name", "n_rows").collect()
+    """Raise ``QualityCheckError`` if any check failed; else the counted checks (one row a table, run once)."""
+    counted = checks.collect()
+    failed = [r for r in counted if not r["passed"]]
     if failed:
-        detail = ", ".join(f"{r.table_name} ({r.n_rows} rows)" for r in failed)
+        detail = ", ".join(f"{r['table_name']} ({r['n_rows']} rows)" for r in failed)
         raise QualityCheckError(f"data quality check failed: {detail}")
-    return checks
+    return checks.sparkSession.createDataFrame(counted, checks.schema)

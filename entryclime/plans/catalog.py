@@ -7,16 +7,17 @@ dates are ``date`` -- the same conventions as the SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from entryclime.functions import dates, geo, text
 from entryclime.operators import aggregates as agg
-from entryclime.operators import filters, joins, quality
+from entryclime.operators import filters, joins, quality, shape
 from entryclime.operators.dedup import apply_overrides, distinct_rows, first_per_key
 from entryclime.plans import fixtures as fx
 from entryclime.plans import jobs
@@ -54,7 +55,7 @@ def analytical_table(spark: SparkSession, d: str) -> DataFrame:
 def _nation_climate(spark: SparkSession, d: str, where: Column) -> DataFrame:
     t = fx.nation_temperature(spark, d, where)
     n = fx.table(spark, d, "nation")
-    j = t.join(joins.bounded_broadcast(n, fx.NATION_BOUND), t["s_nationkey"] == n["n_nationkey"])
+    j = t.join(n, t["s_nationkey"] == n["n_nationkey"])
     return j.select(F.col("n_name").alias("city"), _long("n_regionkey").alias("state_id"),
                     _long("month").alias("month"),
                     _r6(F.col("sum_value") / F.col("n_samples")).alias("average_temperature"),
@@ -108,10 +109,17 @@ def geo_join(spark: SparkSession, d: str) -> DataFrame:
     s = fx.table(spark, d, "supplier").select(
         "s_suppkey", F.col("s_nationkey").alias("s_nation"),
         fx.key_latitude(F.col("s_suppkey")).alias("s_lat"), fx.key_longitude(F.col("s_suppkey")).alias("s_lon"))
-    j = joins.proximity_join(c, s, [("c_nation", "s_nation")], ("c_lat", "c_lon"), ("s_lat", "s_lon"),
+    # Points first: customers (and suppliers) that share a point meet once, so the rows are one per customer.
+    spots = s.groupBy("s_nation", "s_lat", "s_lon").agg(F.count(F.lit(1)).alias("_suppliers"))
+    places = c.select("c_nation", "c_lat", "c_lon").distinct()
+    j = joins.proximity_join(places, spots, [("c_nation", "s_nation")], ("c_lat", "c_lon"), ("s_lat", "s_lon"),
                              jobs.MATCH_DISTANCE_KM, "lambert")
-    return j.select("c_custkey", "s_suppkey", _long("c_nation").alias("nationkey"),
-                    _r6("distance_km").alias("distance_km"))
+    near = j.groupBy("c_nation", "c_lat", "c_lon").agg(F.sum("_suppliers").alias("n_suppliers"),
+                                                       F.min("distance_km").alias("nearest_km"),
+                                                       F.max("distance_km").alias("farthest_km"))
+    return c.join(near, ["c_nation", "c_lat", "c_lon"]).select(
+        "c_custkey", _long("c_nation").alias("nationkey"), _long("n_suppliers").alias("n_suppliers"),
+        _r6("nearest_km").alias("nearest_km"), _r6("farthest_km").alias("farthest_km"))
 
 
 def geo_distance_haversine(spark: SparkSession, d: str) -> DataFrame:
@@ -122,7 +130,7 @@ def geo_distance_haversine(spark: SparkSession, d: str) -> DataFrame:
     b = n.select(F.col("n_nationkey").alias("b_key"), F.col("n_regionkey").alias("b_region"),
                  fx.key_latitude(F.col("n_nationkey")).alias("b_lat"),
                  fx.key_longitude(F.col("n_nationkey")).alias("b_lon"))
-    j = a.join(joins.bounded_broadcast(b, fx.NATION_BOUND), a["a_region"] == b["b_region"])
+    j = a.join(b, a["a_region"] == b["b_region"])
     return j.select(_long("a_key").alias("a_nationkey"), _long("b_key").alias("b_nationkey"),
                     _r6(geo.haversine_km("a_lat", "a_lon", "b_lat", "b_lon")).alias("distance_km"))
 
@@ -132,7 +140,8 @@ def _abs_int_text(x: Column) -> Column:
 
 
 def hemisphere_parse(spark: SparkSession, d: str) -> DataFrame:
-    n = fx.table(spark, d, "nation")
+    n = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("n_nationkey"),
+                                              (F.col("c_nationkey") % 5).alias("n_regionkey"))
     k = F.col("n_nationkey")
     lat_i = (k * 7) % 120 - 60
     lon_i = (k * 13) % 340 - 170
@@ -144,7 +153,7 @@ def hemisphere_parse(spark: SparkSession, d: str) -> DataFrame:
                 .otherwise(F.concat(lon_core, lon_sfx)))
     t = n.select("n_nationkey", lat_txt.alias("lat_text"), lon_txt.alias("lon_text"))
     return t.select(
-        _long("n_nationkey").alias("n_nationkey"), "lat_text", "lon_text",
+        _long("n_nationkey").alias("c_custkey"), "lat_text", "lon_text",
         _r6(geo.latitude_degrees("lat_text")).alias("latitude"),
         _r6(geo.longitude_degrees("lon_text")).alias("longitude"),
         _r6(geo.hemisphere_degrees_lenient(F.lower("lat_text"), "N", "S")).alias("latitude_ci"),
@@ -153,7 +162,8 @@ def hemisphere_parse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def coordinate_split(spark: SparkSession, d: str) -> DataFrame:
-    n = fx.table(spark, d, "nation")
+    n = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("n_nationkey"),
+                                              (F.col("c_nationkey") % 5).alias("n_regionkey"))
     k = F.col("n_nationkey")
     lon_t = F.concat((F.lit(-125) + k % 59).cast("string"), F.lit(".5"))
     lat_t = F.concat((F.lit(24) + k % 26).cast("string"), F.lit(".5"))
@@ -162,7 +172,7 @@ def coordinate_split(spark: SparkSession, d: str) -> DataFrame:
                .otherwise(F.concat(lon_t, F.lit(", "), lat_t)))
     t = n.select("n_nationkey", coords.alias("coordinates"))
     xy = geo.split_coordinates("coordinates")
-    return t.select(_long("n_nationkey").alias("n_nationkey"), "coordinates",
+    return t.select(_long("n_nationkey").alias("c_custkey"), "coordinates",
                     _r6(xy["longitude"]).alias("longitude"), _r6(xy["latitude"]).alias("latitude"))
 
 
@@ -287,23 +297,11 @@ BULK_RENAMES = {
 }
 
 
-def strip_trailing_2(df: DataFrame) -> DataFrame:
-    """Remove one trailing ``2`` from every column name."""
-    return df.toDF(*[c[:-1] if c.endswith("2") else c for c in df.columns])
-
-
-def cast_columns(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
-    """Bulk cast in place (ANSI-safe ``try_cast``), column order kept."""
-    return df.withColumns({c: F.col(c).try_cast(dtype) for c in cols})
-
-
 def bulk_cast(spark: SparkSession, d: str) -> DataFrame:
     li = fx.table(spark, d, "lineitem").withColumnsRenamed(BULK_RENAMES)
-    li = li.toDF(*text.clean_column_names(li.columns))
-    li = strip_trailing_2(li)
-    li = cast_columns(li, ["quantity", "line_number"], "bigint")
-    li = cast_columns(li, ["ship_date"], "date")
-    return li
+    li = shape.strip_trailing_2(shape.clean_names(li))
+    li = shape.cast_columns(li, ["quantity", "line_number"], "bigint")
+    return shape.cast_columns(li, ["ship_date"], "date")
 
 
 # ------------------------------------------------------------ filters (C*)
@@ -353,13 +351,21 @@ def drop_null_rows(spark: SparkSession, d: str) -> DataFrame:
         F.nullif(F.col("l_returnflag"), F.lit("R")).alias("flag"),
         F.nullif(F.col("l_discount"), F.lit(0.0)).alias("disc"),
         F.when(F.col("l_linestatus") == "O", F.lit("")).otherwise(F.col("l_linestatus")).alias("status"))
-    totals = li.groupBy("ship_year").agg(F.count(F.lit(1)).alias("n_rows"),
-                                         F.count_if(F.col("flag").isNull()).cast("long").alias("n_null_flag"))
-    kept = filters.non_empty(filters.drop_null_rows(li, ["flag", "disc"]), "status")
-    kc = kept.groupBy("ship_year").agg(F.count(F.lit(1)).alias("n_kept"))
-    j = totals.join(kc, "ship_year", "left")
-    return j.select(_long("ship_year").alias("ship_year"), "n_rows", "n_null_flag",
-                    F.coalesce(F.col("n_kept"), F.lit(0)).cast("long").alias("n_kept"))
+    # The kept rows and the dropped ones are counted by one aggregate over one read.
+    kept = filters.any_null(["flag", "disc"]) | filters.is_empty("status")
+    return li.groupBy(_long("ship_year").alias("ship_year")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("flag").isNull()).cast("long").alias("n_null_flag"),
+        F.count_if(~kept).cast("long").alias("n_kept"))
+
+
+def dropped_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Line items that survive ``drop_null_rows`` and ``non_empty``, whole rows."""
+    li = fx.table(spark, d, "lineitem").select(
+        "l_orderkey", _long("l_linenumber").alias("l_linenumber"),
+        F.nullif(F.col("l_returnflag"), F.lit("R")).alias("flag"),
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("disc"),
+        F.when(F.col("l_linestatus") == "O", F.lit("")).otherwise(F.col("l_linestatus")).alias("status"))
+    return filters.non_empty(filters.drop_null_rows(li, ["flag", "disc"]), "status")
 
 
 # ---------------------------------------------------------------- joins (D*)
@@ -396,20 +402,35 @@ def code_lookup(spark: SparkSession, d: str) -> DataFrame:
     c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = fx.table(spark, d, "nation")
     r = fx.table(spark, d, "region")
-    j = joins.lookup(c, n, "c_nationkey", "n_nationkey", "inner", fx.NATION_BOUND)
-    j = joins.lookup(j, r, "n_regionkey", "r_regionkey", "left", fx.NATION_BOUND)
+    j = joins.lookup(c, n, "c_nationkey", "n_nationkey", "inner")
+    j = joins.lookup(j, r, "n_regionkey", "r_regionkey", "left")
     return j.select("c_custkey", "n_name", "r_name")
 
 
 def unmatched_codes(spark: SparkSession, d: str) -> DataFrame:
-    p = fx.table(spark, d, "part").select("p_partkey", "p_name")
-    li = fx.table(spark, d, "lineitem").select("l_partkey")
-    return joins.unmatched(p, li, "p_partkey", "l_partkey")
+    """Orders without a line item."""
+    o = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    li = fx.table(spark, d, "lineitem").select("l_orderkey")
+    return joins.unmatched(o, li, "o_orderkey", "l_orderkey")
+
+
+def unmatched_states(spark: SparkSession, d: str) -> DataFrame:
+    """State codes of the parts' city text that the state list (regions) lacks."""
+    p = _city_state(spark, d)
+    ports = p.select(F.when(F.col("p_size") > 25, F.col("st")).otherwise(
+        fx.state_code(F.element_at(F.array(*[F.lit(n) for n in STATE_SOURCES]), F.col("p_size") % 5 + 1)))
+        .alias("state_code"))
+    states = fx.table(spark, d, "region").select(fx.state_code(F.col("r_name")).alias("state_code"))
+    return jobs.unmatched_state_codes(ports, states)
+
+
+#: Fixed names whose first two letters are the states of the parts with small sizes; two are no regions.
+STATE_SOURCES = ["AFRICA", "AMERICA", "ASIA", "NOWHERE", "ZZ"]
 
 
 def join_recovery(spark: SparkSession, d: str) -> DataFrame:
     fact = fx.entry_rows(spark, d)
-    temp = fx.temperature_dim(spark, d, fx.ship_filter(*fx.RECOVERY_WINDOW))
+    temp = fx.known_temperatures(fx.temperature_dim(spark, d))
     r = jobs.join_recovery(fact, fx.port_rows(spark, d), temp)
     return r.select("n_rows", "n_recovered", _r6("recovery").alias("recovery"))
 
@@ -441,7 +462,7 @@ def value_profile(spark: SparkSession, d: str) -> DataFrame:
     g = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"),
                                     F.count_distinct("user_id").alias("n_users"),
                                     F.count_if(F.col("value") > 10).cast("long").alias("n_high"))
-    total = e.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("n_rows").over(Window.partitionBy())  # over one row per event type
     return g.select("event_type", "n_rows", "n_users", _r6(F.col("n_rows") / total).alias("share"), "n_high")
 
 
@@ -456,12 +477,14 @@ def top_n(spark: SparkSession, d: str) -> DataFrame:
 def _fact_with_nation(spark: SparkSession, d: str) -> DataFrame:
     f = fx.entry_rows(spark, d)
     n = fx.table(spark, d, "nation").select("n_nationkey", "n_name")
-    return f.join(joins.bounded_broadcast(n, fx.NATION_BOUND), f["i94port_city_code"] == n["n_nationkey"])
+    return f.join(n, f["i94port_city_code"] == n["n_nationkey"])
 
 
 def top_n_share(spark: SparkSession, d: str) -> DataFrame:
-    c = jobs.concentration(_fact_with_nation(spark, d), "n_name", 10)
-    return c.select("n_name", "count", "rank", _r6("top_share").alias("top_share"))
+    c = jobs.concentration(fx.entry_rows(spark, d), "i94port_city_code", 10)
+    n = fx.table(spark, d, "nation").select("n_nationkey", "n_name")
+    return c.join(n, c["i94port_city_code"] == n["n_nationkey"]).select(
+        "n_name", "count", "rank", _r6("top_share").alias("top_share"))
 
 
 def category_share(spark: SparkSession, d: str) -> DataFrame:
@@ -473,7 +496,7 @@ def category_share(spark: SparkSession, d: str) -> DataFrame:
 def demographics_mean(spark: SparkSession, d: str) -> DataFrame:
     c = fx.table(spark, d, "customer")
     n = fx.table(spark, d, "nation").select("n_nationkey", "n_name")
-    j = c.join(joins.bounded_broadcast(n, fx.NATION_BOUND), c["c_nationkey"] == n["n_nationkey"])
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"])
     g = j.groupBy("n_name", "c_mktsegment").agg(F.avg("c_acctbal").alias("avg_acctbal"),
                                                 F.count(F.lit(1)).alias("n_customers"))
     return g.select("n_name", "c_mktsegment", _r6("avg_acctbal").alias("avg_acctbal"), "n_customers")
@@ -498,12 +521,8 @@ def keyed_override(spark: SparkSession, d: str) -> DataFrame:
 
 
 def entity_profiles(spark: SparkSession, d: str) -> DataFrame:
-    f = _fact_with_nation(spark, d)
-    o = fx.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    c = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("_ck"), "c_mktsegment")
-    j = f.join(o, "o_orderkey").join(c, f["o_custkey"] == c["_ck"])
-    p = jobs.top_profiles(j, ["n_name", "c_mktsegment", "o_orderstatus", "o_orderpriority"], 20)
-    return p.select("dimension", "value", "count", "rank")
+    keys = ["n_name", "c_mktsegment", "o_orderstatus", "o_orderpriority"]
+    return jobs.top_profiles(_fact_with_nation(spark, d), keys, 20)
 
 
 def quality_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -544,19 +563,14 @@ def fact_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def retention_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Rows into and out of the fact cleaning job and the share kept (one row, two scalar subqueries)."""
-    raw = fact_raw(spark, d)
-    fact = jobs.entry_fact(raw)
-    r = jobs.retention(raw, fact)
+    """Rows into and out of the fact cleaning job and the share kept (one read of the raw rows)."""
+    r = jobs.entry_retention(fact_raw(spark, d))
     return r.select("n_in", "n_out", _r6("retention").alias("retention"))
 
 
 def missing_histogram(spark: SparkSession, d: str) -> DataFrame:
     """Rows per ``departure IS NULL`` and distinct departure days per group, null counted as a value."""
-    raw = fact_raw(spark, d)
-    h = raw.groupBy(F.col("depdate").isNull().alias("is_null")).agg(
-        F.count(F.lit(1)).alias("n_rows"), agg.distinct_count_with_null("depdate").cast("long").alias("n_distinct"))
-    return h
+    return agg.null_histogram(fact_raw(spark, d), "depdate")
 
 
 def fact_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -602,9 +616,9 @@ def airport_port_join(spark: SparkSession, d: str) -> DataFrame:
                       for c in a.columns])
 
 
-def temperature_rows(spark: SparkSession, d: str) -> DataFrame:
-    """lineitem x supplier x nation shaped like the global city temperature file."""
-    li = fx.table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_shipdate")
+def temperature_rows(spark: SparkSession, d: str, window: tuple[str, str]) -> DataFrame:
+    """lineitem x supplier x nation of a date window, shaped like the global city temperature file."""
+    li = fx.table(spark, d, "lineitem").where(fx.ship_filter(*window)).select("l_suppkey", "l_quantity", "l_shipdate")
     s = fx.table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     nr = fx.nation_dim(spark, d)
     j = li.join(s, li["l_suppkey"] == s["s_suppkey"]).join(nr, F.col("s_nationkey") == nr["n_nationkey"])
@@ -634,20 +648,65 @@ def gazetteer_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def city_temperature_dim(spark: SparkSession, d: str) -> DataFrame:
-    clim = jobs.city_climatology(temperature_rows(spark, d), window=fx.CLIMATE_WINDOW)
+    clim = jobs.city_climatology(temperature_rows(spark, d, fx.CLIMATE_WINDOW), window=fx.CLIMATE_WINDOW)
     ct = jobs.city_temperature(clim, gazetteer_rows(spark, d))
     return ct.select("city", _long("month").alias("month"), _r6("average_temperature").alias("average_temperature"),
                      "state_id", "state_name", _r6("lat").alias("lat"), _r6("lng").alias("lng"))
 
 
+def us_cities(spark: SparkSession, d: str) -> DataFrame:
+    clim = jobs.city_climatology(temperature_rows(spark, d, fx.CLIMATE_WINDOW), window=fx.CLIMATE_WINDOW)
+    cities = jobs.us_cities(jobs.city_temperature(clim, gazetteer_rows(spark, d)))
+    return cities.select("city", "state_id", "state_name", _r6("latitude").alias("latitude"),
+                         _r6("longitude").alias("longitude"))
+
+
+def airport_concentration(spark: SparkSession, d: str) -> DataFrame:
+    """Top 25 ports and states of the fact joined to the airports (suppliers: several to a port)."""
+    fact = fx.entry_rows(spark, d).withColumnRenamed("c_mktsegment", "destination_state_code")
+    airports = fx.table(spark, d, "supplier").select(_long("s_nationkey").alias("i94port_code"))
+    c = jobs.airport_concentration(fact, airports)
+    return c.select("dimension", "value", _long("count").alias("count"), "rank", _r6("top_share").alias("top_share"))
+
+
 # ------------------------------------------------------------- I/O (A*)
-NATION_SCHEMA = StructType([StructField("n_nationkey", LongType()), StructField("n_name", StringType()),
-                            StructField("n_regionkey", LongType())])
+ORDER_CSV_SCHEMA = StructType([StructField("index", LongType()), StructField("o_orderkey", LongType()),
+                               StructField("o_custkey", LongType()), StructField("o_orderpriority", StringType())])
 
 
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    path = writers.write_csv(fx.table(spark, d, "nation"), scratch_path(spark, "csv_roundtrip"))
-    return readers.read_csv(spark, path, NATION_SCHEMA, header=True)
+    """Orders through a CSV with an index column, which the reader drops."""
+    o = fx.table(spark, d, "orders").select(F.monotonically_increasing_id().alias("index"), "o_orderkey", "o_custkey",
+                                            "o_orderpriority")
+    path = writers.write_csv(o, scratch_path(spark, "csv_roundtrip"))
+    return readers.read_csv(spark, path, ORDER_CSV_SCHEMA, header=True, drop=["index"])
+
+
+def sorted_head(spark: SparkSession, d: str) -> DataFrame:
+    """The 50 dearest orders, a total order and its position."""
+    o = fx.table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    return agg.top_n(o, 50, [F.desc("o_totalprice"), F.asc("o_orderkey")], "position")
+
+
+DRIFT_COLUMNS = ["validres", "delete_days", "delete_visa"]
+MONTH_TEMPLATE = "token={token}"
+MONTH_RANGE = ("1995-01-01", "2001-12-31")
+
+
+def drifting_month_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Raw monthly files, even years with extra columns, read by month range in one scan; the month from the path."""
+    raw = fact_raw(spark, d).withColumn("token", dates.month_token(F.make_date(
+        F.col("i94yr").cast("int"), F.col("i94mon").cast("int"), F.lit(1))))
+    root = scratch_path(spark, "raw_months")
+    even = F.col("i94yr") % 2 == 0
+    drifted = raw.where(even).withColumns({c: F.lit(1.0) for c in DRIFT_COLUMNS})
+    writers.write_parquet(drifted, root, ["token"])
+    writers.write_parquet(raw.where(~even), root, ["token"], mode="append")
+    schema = StructType([f for f in raw.schema.fields if f.name != "token"])
+    back = readers.read_months(spark, root, *MONTH_RANGE, schema, MONTH_TEMPLATE, skip_missing=True)
+    back = readers.with_file_token(back, r"token=([a-z]{3}\d{2})", "month_token")
+    return back.groupBy("month_token", _long("i94yr").alias("i94yr"), _long("i94mon").alias("i94mon")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("cicid").cast("long").alias("sum_cicid"))
 
 
 def delimited_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -700,11 +759,13 @@ def multi_file_month_scan(spark: SparkSession, d: str) -> DataFrame:
         dates.year_month(F.make_date("entry_year", "entry_month", F.lit(1))).alias("year_month"),
         _long("i94port_city_code").alias("i94port_city_code"), _long("entry_month").alias("entry_month"),
         _long("count").alias("count"), _long("rank").alias("rank"))
-    path = writers.write_csv(a, scratch_path(spark, "monthly_export"), partition_by=["year_month"])
-    schema = StructType([StructField(n, LongType()) for n in ("i94port_city_code", "entry_month", "count", "rank")])
-    back = readers.read_csv(spark, path, schema, header=True)
-    back = readers.with_file_token(back, r"year_month=(\d{4}-\d{2})", "year_month")
-    return back.select("year_month", "i94port_city_code", "entry_month", "count", "rank")
+    # One file a month, named after it, rows by descending count with their position; the month is read off the name.
+    path = writers.write_monthly_csv(a, scratch_path(spark, "monthly_export"), "year_month",
+                                     [F.desc("count"), F.asc("i94port_city_code")], "port_entry_{month}.csv")
+    schema = StructType([StructField(n, LongType()) for n in ("index", "i94port_city_code", "entry_month", "count", "rank")])
+    back = readers.read_csv(spark, f"{path}/port_entry_*.csv", schema, header=True)
+    back = readers.with_file_token(back, r"port_entry_(\d{4}-\d{2})\.csv", "year_month")
+    return back.select("year_month", "index", "i94port_city_code", "entry_month", "count", "rank")
 
 
 def incremental_month_load(spark: SparkSession, d: str) -> DataFrame:
@@ -718,67 +779,89 @@ def incremental_month_load(spark: SparkSession, d: str) -> DataFrame:
 
 
 EVENTS_SCHEMA = StructType([
-    StructField("event_id", LongType()), StructField("user_id", LongType()),
+    StructField("event_id", LongType()), StructField("ts", TimestampNTZType()), StructField("user_id", LongType()),
     StructField("event_type", StringType()), StructField("value", DoubleType()),
     StructField("props", StringType()),
 ])
+EVENTS_KEY = "events/{year}/{month:02d}"
 
 
 def json_stage_load(spark: SparkSession, d: str) -> DataFrame:
-    e = fx.table(spark, d, "events").drop("ts")
-    staged = writers.write_json(e, scratch_path(spark, "events_json"))
-    tbl = scratch_path(spark, "events_table")
-    writers.write_parquet(readers.read_json_staged(spark, staged, EVENTS_SCHEMA), tbl, mode="append")
-    t = readers.read_parquet(spark, tbl)
+    """Events staged as JSON under a date-templated key, then appended to a table with all their columns."""
+    e = fx.table(spark, d, "events").select([f.name for f in EVENTS_SCHEMA.fields])
+    root = scratch_path(spark, "stage")
+    staged = writers.write_json(e, readers.staged_path(root, EVENTS_KEY, _dt.date(2024, 1, 1)))
+    with writers.temporary_table(spark, "events", ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                                                            for f in EVENTS_SCHEMA.fields)) as name:
+        writers.insert(readers.read_json_staged(spark, staged, EVENTS_SCHEMA), name)
+        t = writers.read_back(spark, name)
     return t.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"),
                                        _r6(F.sum("value")).alias("total_value"),
-                                       F.count_distinct("user_id").alias("n_users"))
-
-
-def _table_name(prefix: str) -> str:
-    import uuid
-
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+                                       F.count_distinct("user_id").alias("n_users"),
+                                       F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"),
+                                       F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("last_ts"))
 
 
 def insert_fact(spark: SparkSession, d: str) -> DataFrame:
-    fx.entry_rows(spark, d).createOrReplaceTempView("_entry_rows")
-    name = writers.create_table(spark, _table_name("entry_fact"),
-                                "o_orderkey BIGINT, port BIGINT, entry_year INT, entry_month INT",
-                                scratch_path(spark, "entry_fact"))
-    writers.insert_select(spark, name, "SELECT o_orderkey, i94port_city_code, entry_year, entry_month FROM _entry_rows")
-    t = spark.table(name)
+    rows = fx.entry_rows(spark, d).select("o_orderkey", F.col("i94port_city_code").alias("port"), "entry_year",
+                                          "entry_month")
+    with writers.temporary_table(spark, "entry_fact", "o_orderkey BIGINT, port BIGINT, entry_year INT, entry_month INT",
+                                 ["entry_year", "entry_month"]) as name:
+        writers.insert(rows, name, ["entry_year", "entry_month"])
+        t = writers.read_back(spark, name)
     return t.groupBy(F.col("port").alias("port"), _long("entry_year").alias("entry_year"),
                      _long("entry_month").alias("entry_month")).agg(F.count(F.lit(1)).alias("n_orders"))
 
 
 def insert_dimension(spark: SparkSession, d: str) -> DataFrame:
-    fx.nation_dim(spark, d).createOrReplaceTempView("_nation_region")
-    name = writers.create_table(spark, _table_name("nation_dim"), "n_nationkey BIGINT, n_name STRING, r_name STRING",
-                                scratch_path(spark, "nation_dim"))
-    sel = "SELECT DISTINCT CAST(n_nationkey AS BIGINT), n_name, r_name FROM _nation_region"
-    writers.insert_select(spark, name, sel)
-    writers.insert_select(spark, name, sel, overwrite=True)  # re-run does not duplicate rows
-    return spark.table(name)
+    rows = fx.nation_dim(spark, d).select(_long("n_nationkey").alias("n_nationkey"), "n_name", "r_name").distinct()
+    with writers.temporary_table(spark, "nation_dim", "n_nationkey BIGINT, n_name STRING, r_name STRING") as name:
+        writers.insert(rows, name)
+        writers.insert(rows, name, overwrite=True)  # re-run does not duplicate rows
+        return writers.read_back(spark, name)
+
+
+def gate_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The three kinds of row-count gate: CSV files, parquet folders and catalog tables."""
+    root = scratch_path(spark, "gates")
+    writers.write_csv(fx.table(spark, d, "customer"), f"{root}/customer.csv")
+    writers.write_parquet(fx.table(spark, d, "orders"), f"{root}/orders")
+    checks = quality.row_counts({**quality.csv_tables(spark, root, ["customer.csv", "readme.txt"]),
+                                 **quality.parquet_tables(spark, root, ["orders"])})
+    with writers.temporary_table(spark, "supplier_gate", "s_suppkey BIGINT, s_name STRING") as name:
+        writers.insert(fx.table(spark, d, "supplier").select("s_suppkey", "s_name"), name)
+        counted = quality.row_counts({"supplier": quality.sql_tables(spark, [name])[name]})
+        return quality.assert_quality(checks.unionByName(counted))
 
 
 # -------------------------------------------------------------- full run (M16)
+PORTS_SCHEMA = StructType([StructField(n, StringType()) for n in ("i94port_code", "city", "state_code", "state_name")])
+
+
 def full_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Ports -> airports -> ports v2; climatology -> city temperature; fact; gate; analytical.
 
     Every step hands its table to the next through the shared folder (as the
-    scheduled jobs do), the quality gate runs on those written tables, and
-    the analytical step starts from plain scans.
+    scheduled jobs do). Gates run on the written tables: the port table as CSV,
+    all tables before the analytical step, and the analytical table after it.
     """
-    ports = port_dimension(spark, d)
-    airport_port = jobs.airport_port_join(airport_rows(spark, d), ports, allow=AIRPORT_ALLOW, deny=AIRPORT_DENY)
+    root = scratch_path(spark, "gated")
+    writers.write_csv(port_dimension(spark, d), f"{root}/ports.csv")
+    quality.assert_quality(quality.row_counts(quality.csv_tables(spark, root, ["ports.csv"])))
+    ports = readers.read_csv(spark, f"{root}/ports.csv", PORTS_SCHEMA)
+    airport_port = write_stage(jobs.airport_port_join(airport_rows(spark, d), ports, allow=AIRPORT_ALLOW,
+                                                      deny=AIRPORT_DENY), "airport_port")
+    airports = write_stage(jobs.airport_dimension(airport_port), "airports")
     ports2 = write_stage(jobs.port_dimension_v2(airport_port), "ports_v2")
-    clim = jobs.city_climatology(temperature_rows(spark, d), window=fx.CLIMATE_WINDOW)
-    temp = write_stage(jobs.monthly_temperature(jobs.city_temperature(clim, gazetteer_rows(spark, d))),
-                       "monthly_temperature")
+    clim = jobs.city_climatology(temperature_rows(spark, d, fx.CLIMATE_WINDOW), window=fx.CLIMATE_WINDOW)
+    city_temp = write_stage(jobs.city_temperature(clim, gazetteer_rows(spark, d)), "city_temperature")
+    cities = write_stage(jobs.us_cities(city_temp), "us_cities")
+    temp = write_stage(jobs.monthly_temperature(city_temp), "monthly_temperature")
     fact = write_stage(jobs.entry_fact(fact_raw(spark, d)), "entry_fact", ["entry_year", "entry_month"])
-    quality.assert_quality(quality.row_counts({"ports": ports2, "temperature": temp, "fact": fact}))
-    a = jobs.analytical_table(fact, ports2, temp)
+    quality.assert_quality(quality.row_counts({"airports": airports, "ports": ports2, "cities": cities,
+                                               "temperature": temp, "fact": fact}))
+    a = write_stage(jobs.analytical_table(fact, ports2, temp), "analytical")
+    quality.assert_quality(quality.row_counts({"analytical": a}))
     return a.select("i94port_city_code", "city", "state_code", _r6("average_temperature").alias("average_temperature"),
                     _long("entry_year").alias("entry_year"), _long("entry_month").alias("entry_month"),
                     _long("count").alias("count"), _long("rank").alias("rank"))
@@ -810,10 +893,12 @@ QUERIES: dict[str, Query] = {
     "allow_deny_list": allow_deny_list,
     "length_branches": length_branches,
     "drop_null_rows": drop_null_rows,
+    "dropped_rows": dropped_rows,
     "two_key_join": two_key_join,
     "role_lookup": role_lookup,
     "code_lookup": code_lookup,
     "unmatched_codes": unmatched_codes,
+    "unmatched_states": unmatched_states,
     "join_recovery": join_recovery,
     "null_audit": null_audit,
     "distinct_rows": distinct_rows_q,
@@ -833,14 +918,19 @@ QUERIES: dict[str, Query] = {
     "missing_histogram": missing_histogram,
     "airport_port_join": airport_port_join,
     "city_temperature_dim": city_temperature_dim,
+    "us_cities": us_cities,
     "entity_profiles": entity_profiles,
+    "airport_concentration": airport_concentration,
+    "sorted_head": sorted_head,
     "csv_roundtrip": csv_roundtrip,
     "delimited_scan": delimited_scan,
     "partitioned_roundtrip": partitioned_roundtrip,
     "multi_file_month_scan": multi_file_month_scan,
+    "drifting_month_scan": drifting_month_scan,
     "incremental_month_load": incremental_month_load,
     "json_stage_load": json_stage_load,
     "insert_fact": insert_fact,
     "insert_dimension": insert_dimension,
+    "gate_counts": gate_counts,
     "full_pipeline": full_pipeline,
 }

@@ -14,7 +14,6 @@ from entryclime.functions import dates, geo, text
 from entryclime.operators import aggregates as agg
 from entryclime.operators import filters, joins
 from entryclime.operators.dedup import apply_overrides, first_per_key
-from entryclime.session import cut_lineage
 
 # Fixed values of the cleaning rules (they decide which rows survive).
 JUNK_PORT_PREFIXES = ["No PORT Code", "Collapsed"]
@@ -66,9 +65,6 @@ def port_dimension(code_book: DataFrame, states: DataFrame, overrides: DataFrame
                           text.remove_quotes(value).alias("city_state"))
     cb = filters.exclude_prefixes(cb, "city_state", JUNK_PORT_PREFIXES)
     parsed = parse_city_state(cb, "city_state").select("i94port_code", "city", "state_code")
-    # A code book is small: keep the parsed text in the shared checkpoint folder, so the
-    # filters below cannot be pushed back through (and re-inline) the parsing expressions.
-    parsed = cut_lineage(parsed)
     if overrides is not None:
         parsed = apply_overrides(parsed, overrides, "i94port_code", ["city", "state_code"])
     parsed = parsed.where(F.length("state_code") == 2).select(
@@ -76,7 +72,7 @@ def port_dimension(code_book: DataFrame, states: DataFrame, overrides: DataFrame
     parsed = parsed.where(~F.col("state_code").isin(EXCLUDED_STATE_CODES))
     st = states.select(text.remove_quotes("state_code").alias("_sc"),
                        text.remove_quotes("state_name").alias("state_name"))
-    out = parsed.join(joins.bounded_broadcast(st), parsed["state_code"] == st["_sc"], "inner").drop("_sc")
+    out = parsed.join(st, parsed["state_code"] == st["_sc"], "inner").drop("_sc")
     return out.distinct()
 
 
@@ -102,8 +98,7 @@ def airport_port_join(airports: DataFrame, ports: DataFrame,
     ).where(F.col("municipality").isNotNull())
     p = ports.select("i94port_code", "state_name", F.col("state_code").alias("_p_state"),
                      F.lower("city").alias("city"))
-    j = a.join(joins.bounded_broadcast(p),
-               (a["municipality"] == p["city"]) & (a["state_code"] == p["_p_state"]), "inner").drop("_p_state")
+    j = a.join(p, (a["municipality"] == p["city"]) & (a["state_code"] == p["_p_state"]), "inner").drop("_p_state")
     j = j.where(F.col("type") == LARGE_AIRPORT).select(
         "ident", "type", "name", "iso_country", "municipality", "i94port_code", "state_name",
         "state_code", "city",
@@ -138,6 +133,8 @@ def city_climatology(temps: DataFrame, country: str = CLIMATE_COUNTRY,
         F.col("Longitude").alias("longitude"),
     ).where(F.col("average_temperature").isNotNull())
     d = dates.iso_text_to_date("dt")
+    # ISO text orders like its dates, so the same window on the raw text reaches the scan.
+    t = t.where((F.col("dt") >= window[0]) & (F.col("dt") < window[1]))
     t = t.withColumn("month", F.month(d)).where(dates.half_open(d, *window))
     g = t.groupBy("city", "month", "latitude", "longitude").agg(
         F.avg("average_temperature").alias("average_temperature"))
@@ -190,9 +187,30 @@ def entry_fact(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) ->
     ``admission_number`` is a bigint (11-digit values), and the surviving row
     of a duplicated ``cicid`` is deterministic.
     """
-    r = raw.where(F.col("dtaddto").isNotNull() & (F.col("dtaddto") != ""))
-    r = r.where(dates.stay_pattern_ok("dtaddto", stay_pattern)).where(F.col("dtadfile").isNotNull())
-    fact = r.select(
+    fact = typed_entries(raw.where(raw_entry_gate(stay_pattern)))
+    # One condition per column: a single "no nulls in these 18" predicate makes the optimizer
+    # derive a constraint for every subset of the columns it can rename.
+    return first_per_key(filters.not_null(fact, FACT_COLUMNS), ["cicid"])
+
+
+def raw_entry_gate(stay_pattern: str = dates.STAY_PATTERN_STRICT) -> Column:
+    """Rows of the raw records that the monthly job lets in."""
+    return _gate("dtaddto", "dtadfile", stay_pattern)
+
+
+def entry_gate(stay_pattern: str = dates.STAY_PATTERN_STRICT) -> Column:
+    """``raw_entry_gate`` on typed records (a file date that parses was present)."""
+    return _gate("allow_to_stay_date", "add_to_file_date", stay_pattern)
+
+
+def _gate(stay: str, filed: str, stay_pattern: str) -> Column:
+    return (F.col(stay).isNotNull() & (F.col(stay) != "") & dates.stay_pattern_ok(stay, stay_pattern)
+            & F.col(filed).isNotNull())
+
+
+def typed_entries(raw: DataFrame) -> DataFrame:
+    """The raw records with the fact's names and types, no row dropped."""
+    return raw.select(
         F.col("cicid").try_cast("bigint").alias("cicid"),
         F.col("admnum").try_cast("bigint").alias("admission_number"),
         F.col("i94port").alias("i94port_city_code"),
@@ -211,16 +229,33 @@ def entry_fact(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) ->
         F.col("i94visa").try_cast("int").alias("visa_category_id"),
         F.col("i94mode").try_cast("int").alias("entry_mode_id"),
         F.col("i94bir").try_cast("int").alias("age"),
-    ).dropna(how="any")
-    return first_per_key(fact, ["cicid"])
+    )
 
 
 def retention(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """(n_in, n_out, retention) of a cleaning step; each count is a scalar subquery."""
-    n_in = raw.agg(F.count(F.lit(1))).scalar()
-    n_out = cleaned.agg(F.count(F.lit(1))).scalar()
-    one = raw.sparkSession.range(1)
-    return one.select(n_in.alias("n_in"), n_out.alias("n_out"), (n_out / n_in).alias("retention"))
+    """(n_in, n_out, retention) of any cleaning step; no rows in gives a null retention.
+
+    Counts both frames, so their common source is read twice; ``entry_retention`` reads it once.
+    """
+    both = raw.select(F.lit(1).alias("_in"), F.lit(0).alias("_out")).unionAll(
+        cleaned.select(F.lit(0).alias("_in"), F.lit(1).alias("_out")))
+    return _retained(both.agg(F.sum("_in").alias("n_in"), F.sum("_out").alias("n_out")))
+
+
+def _retained(counts: DataFrame) -> DataFrame:
+    n_in, n_out = (F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_in", "n_out"))
+    return counts.select(n_in.alias("n_in"), n_out.alias("n_out"), F.try_divide(n_out, n_in).alias("retention"))
+
+
+def entry_retention(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) -> DataFrame:
+    """``retention`` of ``entry_fact`` in one read: rows and kept rows per ``cicid``, then their sums."""
+    typed = typed_entries(raw)
+    kept = entry_gate(stay_pattern)
+    for c in FACT_COLUMNS:
+        kept = kept & F.col(c).isNotNull()
+    per_key = typed.groupBy("cicid").agg(F.count(F.lit(1)).alias("_n"),
+                                         F.max(F.coalesce(kept, F.lit(False)).cast("long")).alias("_kept"))
+    return _retained(per_key.agg(F.sum("_n").alias("n_in"), F.sum("_kept").alias("n_out")))
 
 
 # -------------------------------------------------------- M9 analytical table
@@ -324,14 +359,33 @@ def concentration(fact: DataFrame, key: str, n: int = 25) -> DataFrame:
 def top_profiles(df: DataFrame, keys: list[str], n: int = 20) -> DataFrame:
     """Long table (dimension, value, count, rank) with the top ``n`` values of each key.
 
-    Each key gets its own grouped count and a bounded top-``n``
-    (TakeOrderedAndProject), so no window ever holds all values of a key.
+    One pass: each row gives one (dimension, value) pair per key, all keys are
+    counted by one aggregate (partial inside each task), and a task keeps only
+    its own top ``n`` of a dimension before the ranks are merged.
+    """
+    pairs = F.array(*[F.struct(F.lit(k).alias("dimension"), F.col(k).cast("string").alias("value")) for k in keys])
+    counts = df.select(F.inline(pairs)).groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("count"))
+    top = agg.top_n_by(counts, "dimension", n, [F.desc("count"), F.asc("value")])
+    return top.select("dimension", "value", "count", "rank")
+
+
+def airport_concentration(fact: DataFrame, airports: DataFrame, n: int = 25, port_key: str = "i94port_city_code",
+                          state_key: str = "destination_state_code") -> DataFrame:
+    """Top ``n`` ports and top ``n`` destination states of the fact joined to the airport table.
+
+    Long rows (dimension, value, count, rank, top_share). A port with several
+    airports counts once per airport, as the row join does; the fact is counted
+    per (port, state) and the airports per port before they meet.
     """
-    from functools import reduce
-
-    parts = []
-    for k in keys:
-        c = df.groupBy(F.col(k).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
-        top = agg.top_n(c, n, [F.desc("count"), F.asc("value")])
-        parts.append(top.withColumn("dimension", F.lit(k)))
-    return reduce(DataFrame.unionByName, parts).select("dimension", "value", "count", "rank")
+    counts = fact.groupBy(F.col(port_key).alias("_port"), F.col(state_key).alias("_state")).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    fan = airports.groupBy(F.col("i94port_code").alias("_code")).agg(F.count(F.lit(1)).alias("_airports"))
+    joined = counts.join(fan, F.col("_port") == F.col("_code")).withColumn("_n", F.col("_rows") * F.col("_airports"))
+    pairs = F.array(F.struct(F.lit("port").alias("dimension"), F.col("_port").cast("string").alias("value")),
+                    F.struct(F.lit("state").alias("dimension"), F.col("_state").cast("string").alias("value")))
+    values = joined.select("_n", F.inline(pairs)).groupBy("dimension", "value").agg(F.sum("_n").alias("count"))
+    total = Window.partitionBy("dimension")
+    shared = agg.ranked(values, ["dimension"], [F.desc("count"), F.asc("value")]).withColumn(
+        "_all", F.sum("count").over(total)).where(F.col("rank") <= n)
+    return shared.select("dimension", "value", "count", "rank",
+                         F.try_divide(F.sum("count").over(total), F.col("_all")).alias("top_share"))

@@ -8,11 +8,10 @@ checks that the Spark plans' rewrites (aggregate before join, partial
 
 from __future__ import annotations
 
+from entryclime.functions.dates import STAY_PATTERN_LOOSE as LOOSE
+from entryclime.functions.dates import STAY_PATTERN_STRICT as STRICT
 from entryclime.functions.geo import MEAN_RADIUS_KM, WGS84_A_KM, WGS84_F
 
-STRICT = r"(?i)^(?:[01][0-9][0-3][0-9]20[12][6-9]|D/S)"
-LOOSE = r"(?i)^(?:[0-1][\d]+[0-4]+[\d]+[\d]+[\d]+[\d]+|D/S)"
-
 
 def _lat(k: str) -> str:
     return f"(CAST(24.5 AS DOUBLE) + CAST({k} % 26 AS DOUBLE))"
@@ -304,19 +303,22 @@ FROM fit""",
 s AS (SELECT s_suppkey, s_nationkey AS nation, {_lat('s_suppkey')} AS lat, {_lon('s_suppkey')} AS lon FROM supplier),
 p AS (SELECT c.c_custkey, s.s_suppkey, c.nation, {_lambert('c.lat', 'c.lon', 's.lat', 's.lon')} AS d
       FROM c JOIN s ON c.nation = s.nation)
-SELECT c_custkey, s_suppkey, CAST(nation AS BIGINT) AS nationkey, round(d, 6) AS distance_km FROM p WHERE d < 180""",
+SELECT c_custkey, CAST(nation AS BIGINT) AS nationkey, count(*) AS n_suppliers, round(min(d), 6) AS nearest_km,
+       round(max(d), 6) AS farthest_km
+FROM p WHERE d < 180 GROUP BY c_custkey, nation""",
     "geo_distance_haversine": f"""WITH n AS (SELECT n_nationkey AS k, n_regionkey AS r, {_lat('n_nationkey')} AS lat, {_lon('n_nationkey')} AS lon FROM nation)
 SELECT CAST(a.k AS BIGINT) AS a_nationkey, CAST(b.k AS BIGINT) AS b_nationkey,
        round({_haversine('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS distance_km
 FROM n a JOIN n b ON a.r = b.r""",
-    "hemisphere_parse": f"""WITH t AS (SELECT n_nationkey, n_regionkey, {_hemi_lat} AS lat_i, {_hemi_lon} AS lon_i FROM nation),
+    "hemisphere_parse": f"""WITH t AS (SELECT n_nationkey, n_regionkey, {_hemi_lat} AS lat_i, {_hemi_lon} AS lon_i
+      FROM (SELECT c_custkey AS n_nationkey, c_nationkey % 5 AS n_regionkey FROM customer)),
 u AS (SELECT n_nationkey,
         CAST(abs(lat_i) AS VARCHAR) || '.5' || CASE WHEN lat_i >= 0 THEN 'N' ELSE 'S' END AS lat_text,
         CASE WHEN n_regionkey = 3 THEN CAST(abs(lon_i) AS VARCHAR) || '.25' || lower(CASE WHEN lon_i >= 0 THEN 'E' ELSE 'W' END)
              WHEN n_regionkey = 4 THEN CAST(abs(lon_i) AS VARCHAR) || '.25'
              ELSE CAST(abs(lon_i) AS VARCHAR) || '.25' || CASE WHEN lon_i >= 0 THEN 'E' ELSE 'W' END END AS lon_text
       FROM t)
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, lat_text, lon_text,
+SELECT CAST(n_nationkey AS BIGINT) AS c_custkey, lat_text, lon_text,
        {_strict_hemi('lat_text', 'N', 'S')} AS latitude, {_strict_hemi('lon_text', 'E', 'W')} AS longitude,
        {_lenient_hemi('lower(lat_text)', 'N', 'S')} AS latitude_ci, {_lenient_hemi('lon_text', 'E', 'W')} AS longitude_ci
 FROM u""",
@@ -324,8 +326,8 @@ FROM u""",
     CASE WHEN n_regionkey = 3 THEN '0, 0'
          WHEN n_regionkey = 4 THEN CAST(-125 + n_nationkey % 59 AS VARCHAR) || '.5' || ' ' || CAST(24 + n_nationkey % 26 AS VARCHAR) || '.5'
          ELSE CAST(-125 + n_nationkey % 59 AS VARCHAR) || '.5, ' || CAST(24 + n_nationkey % 26 AS VARCHAR) || '.5' END AS coordinates
-  FROM nation)
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, coordinates,
+  FROM (SELECT c_custkey AS n_nationkey, c_nationkey % 5 AS n_regionkey FROM customer))
+SELECT CAST(n_nationkey AS BIGINT) AS c_custkey, coordinates,
        round(TRY_CAST(trim(string_split(coordinates, ',')[1]) AS DOUBLE), 6) AS longitude,
        round(TRY_CAST(trim(string_split(coordinates, ',')[2]) AS DOUBLE), 6) AS latitude
 FROM t""",
@@ -412,6 +414,9 @@ SELECT p_partkey, CASE WHEN length(tok) = 4 THEN tok ELSE upper(tok) END AS toke
 SELECT CAST(ship_year AS BIGINT) AS ship_year, count(*) AS n_rows, CAST(count_if(flag IS NULL) AS BIGINT) AS n_null_flag,
        CAST(count_if(flag IS NOT NULL AND disc IS NOT NULL AND status IS NOT NULL AND status <> '') AS BIGINT) AS n_kept
 FROM li GROUP BY 1""",
+    "dropped_rows": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag AS flag, l_discount AS disc,
+       l_linestatus AS status
+FROM lineitem WHERE l_returnflag <> 'R' AND l_discount <> 0 AND l_linestatus <> 'O' AND l_linestatus <> ''""",
     "two_key_join": """SELECT c.c_custkey, s.s_suppkey, CAST(c.c_nationkey AS BIGINT) AS nationkey,
        lower(regexp_extract(c.c_name, '#(\\d+)$', 1)) AS name_number
 FROM customer c JOIN supplier s
@@ -424,10 +429,13 @@ JOIN nation cn ON c.c_nationkey = cn.n_nationkey JOIN nation sn ON s.s_nationkey
 GROUP BY 1, 2""",
     "code_lookup": """SELECT c.c_custkey, n.n_name, r.r_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
-    "unmatched_codes": """SELECT p_partkey, p_name FROM part p
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey)""",
+    "unmatched_codes": """SELECT o_orderkey, o_custkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
+    "unmatched_states": """WITH codes AS (SELECT DISTINCT CASE WHEN p_size > 25 THEN upper(substr(p_type, 1, 2))
+    ELSE ['AF', 'AM', 'AS', 'NO', 'ZZ'][p_size % 5 + 1] END AS state_code FROM part)
+SELECT state_code FROM codes WHERE state_code NOT IN (SELECT upper(substr(r_name, 1, 2)) FROM region)""",
     "join_recovery": f"""WITH {FACT}, {PORT},
-{_temp("WHERE l.l_shipdate >= TIMESTAMP '2000-01-01' AND l.l_shipdate < TIMESTAMP '2000-04-01'")},
+{_temp("WHERE n.n_regionkey <> 4 AND NOT (n.n_regionkey = 3 AND month(l.l_shipdate) % 2 = 0)")},
 fp AS (SELECT f.entry_month, p.city, p.state_code FROM fact f JOIN port p ON f.port = p.i94port_code),
 m AS (SELECT EXISTS (SELECT 1 FROM temp t WHERE t.city = fp.city AND t.state_id = fp.state_code AND t.month = fp.entry_month) AS hit FROM fp)
 SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count_if(hit) AS BIGINT) AS n_recovered,
@@ -495,8 +503,28 @@ u AS (""" + " UNION ALL ".join(
         for k in PROFILE_KEYS) + """),
 r AS (SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY cnt DESC, value) AS rnk FROM u)
 SELECT dimension, value, CAST(cnt AS BIGINT) AS "count", CAST(rnk AS BIGINT) AS "rank" FROM r WHERE rnk <= 20""",
-    "csv_roundtrip": """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
-FROM nation""",
+    "us_cities": f"""WITH {_nation_region()}, {_city_temp_ctes()}
+SELECT DISTINCT city, state_id, state_name, round(lat, 6) AS latitude, round(lng, 6) AS longitude FROM city_temp""",
+    "airport_concentration": """WITH j AS (
+  SELECT CAST(c.c_nationkey AS VARCHAR) AS port, c.c_mktsegment AS state
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN supplier s ON s.s_nationkey = c.c_nationkey),
+u AS (SELECT 'port' AS dimension, port AS value, count(*) AS cnt FROM j GROUP BY port
+      UNION ALL SELECT 'state', state, count(*) FROM j GROUP BY state),
+r AS (SELECT *, row_number() OVER (PARTITION BY dimension ORDER BY cnt DESC, value) AS rnk,
+             sum(cnt) OVER (PARTITION BY dimension) AS total FROM u)
+SELECT dimension, value, CAST(cnt AS BIGINT) AS "count", CAST(rnk AS BIGINT) AS "rank",
+       round(sum(cnt) OVER (PARTITION BY dimension) / total, 6) AS top_share
+FROM r WHERE rnk <= 25""",
+    "sorted_head": """SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(rn AS BIGINT) AS position FROM (
+  SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 50""",
+    "drifting_month_scan": """SELECT lower(strftime(o.o_orderdate, '%b%y')) AS month_token,
+       CAST(year(o.o_orderdate) AS BIGINT) AS i94yr, CAST(month(o.o_orderdate) AS BIGINT) AS i94mon, count(*) AS n_rows,
+       CAST(sum(o.o_orderkey) AS BIGINT) AS sum_cicid
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2, 3""",
+    "gate_counts": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS n_rows, count(*) >= 1 AS passed FROM {t}"
+        for n, t in (("customer.csv", "customer"), ("orders", "orders"), ("supplier", "supplier"))),
+    "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
     "delimited_scan": " UNION ALL ".join(
         f"SELECT '{f}' AS fmt, CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region"
         for f in ("tab_eq_tab", "eq", "semicolon")),
@@ -505,13 +533,16 @@ FROM nation""",
 FROM orders""",
     "multi_file_month_scan": f"""{ANALYTICAL}
 SELECT strftime(make_date(CAST(entry_year AS INTEGER), CAST(entry_month AS INTEGER), 1), '%Y-%m') AS year_month,
+       CAST(row_number() OVER (PARTITION BY entry_year, entry_month ORDER BY cnt DESC, i94port_city_code) - 1 AS BIGINT)
+           AS index,
        CAST(i94port_city_code AS BIGINT) AS i94port_city_code, CAST(entry_month AS BIGINT) AS entry_month,
        CAST(cnt AS BIGINT) AS "count", CAST(rnk AS BIGINT) AS "rank"
 FROM analytical""",
     "incremental_month_load": """SELECT CAST(year(o_orderdate) AS BIGINT) AS entry_year, CAST(month(o_orderdate) AS BIGINT) AS entry_month,
        count(*) AS n_rows
 FROM orders GROUP BY 1, 2""",
-    "json_stage_load": """SELECT event_type, count(*) AS n_rows, round(sum(value), 6) AS total_value, count(DISTINCT user_id) AS n_users
+    "json_stage_load": """SELECT event_type, count(*) AS n_rows, round(sum(value), 6) AS total_value, count(DISTINCT user_id) AS n_users,
+       strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
 FROM events GROUP BY 1""",
     "insert_fact": """SELECT CAST(c.c_nationkey AS BIGINT) AS port, CAST(year(o.o_orderdate) AS BIGINT) AS entry_year,
        CAST(month(o.o_orderdate) AS BIGINT) AS entry_month, count(*) AS n_orders

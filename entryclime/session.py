@@ -56,12 +56,6 @@ def clear_scratch(spark: SparkSession) -> None:
     _delete(spark, _root(spark))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def write_stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a pipeline stage as parquet in the shared folder and return it read back.
 

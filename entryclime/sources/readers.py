@@ -53,10 +53,25 @@ def monthly_paths(root: str, months: list[_dt.date], template: str = "i94_{token
     return [f"{root.rstrip('/')}/{template.format(token=m.strftime('%b%y').lower())}" for m in months]
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that exist, asked of their file system by the driver (one question per path)."""
+    found = []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+            found.append(path)
+    return found
+
+
 def read_months(spark: SparkSession, root: str, first: str, last: str, schema: StructType,
-                template: str = "i94_{token}_sub.parquet") -> DataFrame:
-    """All monthly raw files of a range in ONE scan; extra (drifting) columns are ignored."""
-    return spark.read.schema(schema).parquet(*monthly_paths(root, month_starts(first, last), template))
+                template: str = "i94_{token}_sub.parquet", skip_missing: bool = False) -> DataFrame:
+    """All monthly raw files of a range in ONE scan; extra (drifting) columns are ignored.
+
+    A month without a file is an error unless ``skip_missing`` says it has no rows.
+    """
+    paths = monthly_paths(root, month_starts(first, last), template)
+    paths = existing(spark, paths) if skip_missing else paths
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def with_file_token(df: DataFrame, pattern: str, name: str, group: int = 1) -> DataFrame:
@@ -64,6 +79,11 @@ def with_file_token(df: DataFrame, pattern: str, name: str, group: int = 1) -> D
     return df.withColumn(name, F.regexp_extract(F.col("_metadata.file_path"), pattern, group))
 
 
+def staged_path(root: str, key: str, when: _dt.date) -> str:
+    """``root/events/2024/01``-style path of a staging key such as ``events/{year}/{month:02d}``."""
+    return f"{root.rstrip('/')}/{key.format(year=when.year, month=when.month, day=when.day)}"
+
+
 def read_json_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """JSON objects with a given schema (the staging step of a warehouse copy)."""
     return spark.read.schema(schema).json(path)

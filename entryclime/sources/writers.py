@@ -12,7 +12,14 @@ time; ``max_records_per_file`` bounds file size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from entryclime.session import MAX_RECORDS_PER_FILE, scratch_path
 
 
 def rebalanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
@@ -22,7 +29,7 @@ def rebalanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite", dynamic: bool = False,
-                  max_records_per_file: int = 5_000_000) -> str:
+                  max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
     """Parquet sink; ``dynamic`` replaces only the partitions present in ``df``."""
     w = rebalanced(df, partition_by).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if dynamic:
@@ -43,6 +50,29 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, h
     return path
 
 
+def write_monthly_csv(df: DataFrame, path: str, month_col: str, order: list[Column],
+                      template: str = "{month}.csv", index_col: str = "index") -> str:
+    """One headed CSV per month, named after it, in ``order`` with a row index from 0.
+
+    For aggregated tables (a month's rows are one row per port): a month is
+    sorted in one task. The files are renamed by the driver, one per month.
+    """
+    by_month = Window.partitionBy(month_col).orderBy(*order)
+    indexed = df.withColumn(index_col, F.row_number().over(by_month) - 1)
+    columns = [month_col, index_col, *[c for c in df.columns if c != month_col]]
+    (indexed.select(columns).repartition(month_col).sortWithinPartitions(month_col, index_col)
+     .write.mode("overwrite").option("header", True).partitionBy(month_col).csv(path))
+    spark = df.sparkSession
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in fs.globStatus(hadoop_path(f"{path}/{month_col}=*/*.csv")):
+        month = part.getPath().getParent().getName().split("=", 1)[1]
+        if not fs.rename(part.getPath(), hadoop_path(f"{path}/{template.format(month=month)}")):
+            raise OSError(f"{part.getPath()} could not be named after its month (more than one file?)")
+        fs.delete(part.getPath().getParent(), True)
+    return path
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One-string-column frame -> text lines (used for code-book style files)."""
     df.write.mode(mode).text(path)
@@ -62,7 +92,23 @@ def create_table(spark: SparkSession, name: str, ddl: str, location: str,
     return name
 
 
-def insert_select(spark: SparkSession, table: str, select_sql: str, overwrite: bool = False) -> None:
-    """``INSERT INTO|OVERWRITE table SELECT ...`` (the fact / dimension load step)."""
-    verb = "OVERWRITE" if overwrite else "INTO"
-    spark.sql(f"INSERT {verb} {table} {select_sql}")
+@contextmanager
+def temporary_table(spark: SparkSession, prefix: str, ddl: str, partition_by: list[str] | None = None) -> Iterator[str]:
+    """An external table of a unique name in the shared folder; its catalog entry goes at the end, its files stay."""
+    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    create_table(spark, name, ddl, scratch_path(spark, name), partition_by)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def insert(df: DataFrame, table: str, partition_by: list[str] | None = None, overwrite: bool = False) -> None:
+    """Insert rows into a catalog table (the fact / dimension load step); columns in the table's order."""
+    rebalanced(df, partition_by).write.insertInto(table, overwrite=overwrite)
+
+
+def read_back(spark: SparkSession, table: str) -> DataFrame:
+    """The files of an external table, so the rows stay readable after its catalog entry is gone."""
+    info = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first()
+    return spark.read.schema(spark.table(table).schema).parquet(info["data_type"])

@@ -90,24 +90,6 @@ def test_quality_gate(spark):
         quality.assert_quality(checks)
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert joins.has_at_most(small, 10) and not joins.has_at_most(small, 9)
-    plan = spark.range(100).join(joins.bounded_broadcast(small, 10), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-
-
-def test_bounded_broadcast_checks_bytes(spark):
-    # 4 rows of 3,000-character text: under any row bound, over a 10 kB byte ceiling
-    wide = spark.range(4).select("id", F.repeat(F.lit("x"), 3000).alias("txt"))
-    rows, size = joins.probe_size(wide, 100)
-    assert rows == 4 and size == 4 * (8 + 2 * 8 + 3000)
-    assert joins.bounded_broadcast(wide, 100, max_bytes=10_000) is wide
-    hinted = joins.bounded_broadcast(wide, 100, max_bytes=20_000)
-    plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-
-
 def test_unit_cells_cover_threshold():
     # a chord shorter than the cell edge can never skip a neighbouring cell
     edge = geo.cell_size_for(180.0)
