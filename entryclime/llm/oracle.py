@@ -46,7 +46,7 @@ SHARDING_SQL = """
                sum(coalesce(strlen(text), 0) + 16) OVER () AS total
         FROM documents),
     placed AS (
-        SELECT doc_id, size, CAST((upto - size) * 40 // total AS INTEGER) AS shard FROM sized)
+        SELECT doc_id, size, CAST((2 * upto - size) * 40 // (2 * total) AS INTEGER) AS shard FROM sized)
     SELECT doc_id, CAST(size AS BIGINT) AS size, 'bytes' AS law, shard,
            row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
     FROM placed

@@ -89,37 +89,38 @@ def _search(rows: DataFrame, column: str, bounds: tuple[int, int], targets: list
 
 
 def splitters(rows: DataFrame, shards: int, tolerance: int = 0) -> list[tuple[int, int]]:
-    """The first (key, tie) of shards 1 to ``shards - 1``: the first row with at least its share of bytes below it.
+    """The first (key, tie) of shards 1 to ``shards - 1``: the first row whose middle reaches its share of the bytes.
 
     With tolerance 0 that is exact; else a boundary may lie up to ``tolerance`` bytes early.
     """
     span = rows.agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.sum("size").alias("total")).first()
     if span["total"] is None:
         return []
-    targets = [-(-span["total"] * j // shards) for j in range(1, shards)]
+    doubled = [-(-2 * span["total"] * j // shards) for j in range(1, shards)]
+    targets = [d // 2 for d in doubled]
     at = _search(rows, "_key", (span["lo"], span["hi"] + 1), targets, tolerance)
-    weights = {r["_key"]: r for r in rows.where(F.col("_key").isin([k for k, _ in at])).groupBy("_key").agg(
+    held = {r["_key"]: r for r in rows.where(F.col("_key").isin([k for k, _ in at])).groupBy("_key").agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.min("_tie").alias("lo"),
         F.max("_tie").alias("hi")).collect()}
-    cuts: list[tuple[int, int]] = []
+    cuts: dict[int, tuple[int, int]] = {}
     least = -(1 << 63)
-    for key in dict.fromkeys(k for k, _ in at):
-        own = [(t, under) for (k, under), t in zip(at, targets, strict=True) if k == key]
-        here = weights.get(key)  # None: no row has this key, and the bytes below it are the target
-        inside = [t - under for t, under in own if t - under > tolerance]
-        ties: list[tuple[int, int]] = []
-        if inside and here["n"] > 1:
-            ties = _search(rows.where(F.col("_key") == key), "_tie", (here["lo"], here["hi"] + 1), inside, tolerance)
-        ties_left = iter(zip(ties, inside, strict=False))
-        for t, under in own:
-            if t - under <= tolerance:
-                cuts.append((key, least))  # this key's first row opens the shard
-            elif here["n"] == 1:
-                cuts.append((key + 1, least))  # its one row still belongs to the shard before
-            else:
-                (tie, tie_under), want = next(ties_left)
-                cuts.append((key, tie if want - tie_under <= tolerance else tie + 1))
-    return cuts
+    crowded: dict[int, list[int]] = {}
+    for j, (key, under) in enumerate(at):
+        here = held.get(key)  # None: no row has this key, and the bytes below it are the target
+        if here is None or targets[j] - under <= tolerance:
+            cuts[j] = (key, least)
+        elif here["n"] == 1:
+            cuts[j] = (key, least) if 2 * under + here["bytes"] >= doubled[j] else (key + 1, least)
+        else:
+            crowded.setdefault(key, []).append(j)
+    for key, own in crowded.items():
+        under, same = at[own[0]][1], rows.where(F.col("_key") == key)
+        found = _search(same, "_tie", (held[key]["lo"], held[key]["hi"] + 1), [targets[j] - under for j in own], tolerance)
+        sizes = {r["_tie"]: r["size"] for r in same.where(F.col("_tie").isin([t for t, _ in found])).collect()}
+        for j, (tie, below) in zip(own, found, strict=True):
+            reached = targets[j] - under - below <= tolerance or 2 * (under + below) + sizes.get(tie, 0) >= doubled[j]
+            cuts[j] = (key, tie if reached else tie + 1)
+    return [cuts[j] for j in range(len(at))]
 
 
 def _at_or_after(cut: tuple[int, int]) -> Column:
@@ -133,7 +134,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", tex
 
     ``size`` is the text's UTF-8 bytes plus 16; a null text has none and the checksum of an empty one. Null ids come
     first; rows of one id lie side by side. Shards follow key order, and a document goes to the shard in which its
-    first byte falls, so shard sizes differ by at most one document (plus ``tolerance``). ``slot`` counts from 0
+    middle falls, so a shard is at most one largest document (plus ``tolerance``) off an equal share. ``slot`` counts from 0
     in a shard without gaps, in key order. ``grown_shard`` belongs to another law and is null. An empty table
     gives no rows; other columns are not read.
     """
