@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 MONTHS = list(range(1, 13))
 
@@ -96,6 +97,12 @@ def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     )
 
 
+def numeric_means(df: DataFrame, keys: list[str], count_col: str = "n_rows") -> DataFrame:
+    """Mean of every numeric column per ``keys`` as ``avg_<column>``, and the rows (what a pivot table averages)."""
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in keys]
+    return df.groupBy(*keys).agg(*[F.avg(c).alias(f"avg_{c}") for c in numeric], F.count(F.lit(1)).alias(count_col))
+
+
 def ranked(df: DataFrame, partition: list[str], order: list[Column], rank_col: str = "rank") -> DataFrame:
     """``row_number`` within ``partition`` by ``order`` (order must be total for determinism).
 

@@ -497,9 +497,10 @@ def demographics_mean(spark: SparkSession, d: str) -> DataFrame:
     c = fx.table(spark, d, "customer")
     n = fx.table(spark, d, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c["c_nationkey"] == n["n_nationkey"])
-    g = j.groupBy("n_name", "c_mktsegment").agg(F.avg("c_acctbal").alias("avg_acctbal"),
-                                                F.count(F.lit(1)).alias("n_customers"))
-    return g.select("n_name", "c_mktsegment", _r6("avg_acctbal").alias("avg_acctbal"), "n_customers")
+    g = agg.numeric_means(j.select("n_name", "c_mktsegment", "c_custkey", "c_acctbal"), ["n_name", "c_mktsegment"],
+                          "n_customers")
+    return g.select("n_name", "c_mktsegment", *[_r6(c).alias(c) for c in ("avg_c_custkey", "avg_c_acctbal")],
+                    "n_customers")
 
 
 def missing_departure_profile(spark: SparkSession, d: str) -> DataFrame:

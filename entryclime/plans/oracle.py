@@ -468,7 +468,8 @@ FROM r WHERE rnk <= 10""",
     "category_share": """SELECT o_orderstatus, count(*) AS n_rows, CAST(count_if(o_orderpriority = '1-URGENT') AS BIGINT) AS n_token,
        round(avg(CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END), 6) AS token_share
 FROM orders GROUP BY 1""",
-    "demographics_mean": """SELECT n.n_name, c.c_mktsegment, round(avg(c.c_acctbal), 6) AS avg_acctbal, count(*) AS n_customers
+    "demographics_mean": """SELECT n.n_name, c.c_mktsegment, round(avg(c.c_custkey), 6) AS avg_c_custkey,
+       round(avg(c.c_acctbal), 6) AS avg_c_acctbal, count(*) AS n_customers
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2""",
     "missing_departure_profile": """SELECT CAST(c.c_nationkey AS BIGINT) AS c_nationkey, count(*) AS n_no_departure
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderstatus = 'O' GROUP BY 1""",

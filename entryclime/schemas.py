@@ -27,6 +27,7 @@ GLOBAL_CITY_TEMPERATURES = _strings(
 
 US_CITIES_SIMPLEMAP = _strings("city", "state_id", "state_name", "lat", "lng")
 
+# The public field names in the data's order.
 # Raw monthly entry records; numerics are doubles in the monthly parquet files.
 RAW_ENTRIES = StructType([
     StructField("cicid", DoubleType()), StructField("i94yr", DoubleType()),
@@ -45,7 +46,7 @@ RAW_ENTRIES = StructType([
     StructField("fltno", StringType()), StructField("visatype", StringType()),
 ])
 
-# The cleaned fact table (one row per cicid).
+# The names and order of the cleaned fact table (one row per cicid).
 ENTRY_FACT = StructType([
     StructField("cicid", LongType()), StructField("admission_number", LongType()),
     StructField("i94port_city_code", StringType()), StructField("destination_state_code", StringType()),
