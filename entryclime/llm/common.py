@@ -8,10 +8,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entryclime.session import write_stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Words of 64 flag bits in a membership filter: 2^17 rows of 16 bytes, so that its broadcast is 2 MB at any input size.
 FILTER_WORDS = 1 << 17
+#: Keys up to which such a filter leaves out most other rows: a quarter of its bits.
+FILTER_KEYS = FILTER_WORDS * 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,29 +36,22 @@ def fold(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def row_key(id_col: str, text_col: str) -> list[Column]:
     """What tells rows apart where ids may be null or repeat: the id and a hash of the whole text.
 
     Rows that agree in both are copies of each other, for which every verdict is the same.
     """
-    return [F.col(id_col).alias("_id"), F.xxhash64(text_or_empty(text_col)).alias("_h")]
+    return [F.col(id_col).alias("_id"), _text_hash(F.col(text_col)).alias("_h")]
 
 
-def drop_rows(docs: DataFrame, out: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` without the rows keyed in ``out`` (``_id``, ``_h``); null ids compare as equal."""
-    key = row_key(id_col, text_col)
-    marked = out.select(F.col("_id").alias("_out_id"), F.col("_h").alias("_out_h")).distinct()
-    hit = key[0].eqNullSafe(marked["_out_id"]) & (F.xxhash64(text_or_empty(text_col)) == marked["_out_h"])
-    return docs.join(marked, hit, "left_anti")
-
-
-def one_row_each(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Of the rows keyed in ``keys``, the least whole row of each key; columns unchanged."""
-    marked = keys.select(F.col("_id").alias("_in_id"), F.col("_h").alias("_in_h")).distinct()
-    hit = (F.col(id_col).eqNullSafe(marked["_in_id"])
-           & (F.xxhash64(text_or_empty(text_col)) == marked["_in_h"]))
-    return (docs.join(marked, hit, "left_semi").groupBy(*[k.alias(f"_g{i}") for i, k in enumerate(row_key(id_col, text_col))])
-            .agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")).select("_row.*"))
+def _unused(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = f"_{name}"
+    return name
 
 
 def membership_words(keys: DataFrame, hashed: str) -> DataFrame:
@@ -66,10 +63,59 @@ def membership_words(keys: DataFrame, hashed: str) -> DataFrame:
 
 def maybe_member(df: DataFrame, words: DataFrame, hashed: str, flag: str) -> DataFrame:
     """Add ``flag``: whether the long ``hashed`` may be among the filter's keys (never false for a key)."""
-    at = F.pmod(F.col(hashed), F.lit(FILTER_WORDS * 64))
-    joined = df.join(F.broadcast(words), F.shiftright(at, 6) == words["_word"], "left")
-    bit = F.expr(f"shiftright(_bits, int(pmod(`{hashed}`, {FILTER_WORDS * 64}L) & 63)) & 1")
-    return joined.withColumn(flag, F.coalesce(bit == 1, F.lit(False))).drop("_word", "_bits")
+    words = words.select(F.col("_word").alias(f"{flag}_word"), F.col("_bits").alias(f"{flag}_bits"))  # its own columns
+    at = F.pmod(df[hashed], F.lit(FILTER_WORDS * 64))
+    joined = df.join(F.broadcast(words), F.shiftright(at, 6) == words[f"{flag}_word"], "left")
+    bit = F.call_function("shiftright", words[f"{flag}_bits"], at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1))
+    return joined.select(*[df[c] for c in df.columns], F.coalesce(bit == 1, F.lit(False)).alias(flag))
+
+
+def drop_rows(docs: DataFrame, out: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows keyed in ``out`` (``_id``, ``_h``); null ids compare as equal; columns unchanged.
+
+    The keys become a filter of fixed size first, so only rows that may be meant are exchanged with them and all
+    others stay in the task that scans them. From ``FILTER_KEYS`` keys on the filter says little, and all rows are
+    exchanged.
+    """
+    marked = write_stage(out.select(F.col("_id").alias("_out_id"), F.col("_h").alias("_out_h")).distinct(), "rows_out")
+    n = marked.count()
+    if not n:
+        return docs
+
+    def without(rows: DataFrame) -> DataFrame:
+        hit = rows[id_col].eqNullSafe(marked["_out_id"]) & (_text_hash(rows[text_col]) == marked["_out_h"])
+        return rows.join(marked, hit, "left_anti")
+
+    if n > FILTER_KEYS:
+        return without(docs)
+    words = write_stage(membership_words(marked.select(F.xxhash64("_out_id", "_out_h").alias("_key")), "_key"),
+                        "rows_out_filter")
+    key, flag = _unused(docs, "_key"), _unused(docs, "_maybe")
+    keyed = docs.withColumn(key, F.xxhash64(docs[id_col], _text_hash(docs[text_col])))
+    split = maybe_member(keyed, words, key, flag).drop(key)
+    return split.where(~F.col(flag)).drop(flag).unionByName(without(split.where(F.col(flag)).drop(flag)))
+
+
+def one_row_each(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of the rows keyed in ``keys``, the least whole row of each key; columns unchanged."""
+    marked = keys.select(F.col("_id").alias("_in_id"), F.col("_h").alias("_in_h")).distinct()
+    hit = docs[id_col].eqNullSafe(marked["_in_id"]) & (_text_hash(docs[text_col]) == marked["_in_h"])
+    return (docs.join(marked, hit, "left_semi").groupBy(F.xxhash64(docs[id_col], _text_hash(docs[text_col])),
+                                                        docs[id_col].alias("_in_id"))
+            .agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("_row")).select("_row.*"))
+
+
+def keep_chosen(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows that ``rows`` (``_id``, ``_h``, ``_stays``) does not choose; columns unchanged.
+
+    ``rows`` has a row for each document of a group, in which one is chosen. Rows that agree in id and text share a key;
+    if the chosen row is one of several, one of them stays.
+    """
+    verdict = write_stage(rows.groupBy("_id", "_h").agg(F.count(F.lit(1)).alias("_n"), F.max("_stays").alias("_stays"))
+                          .where("_n > 1 OR NOT _stays"), "rows_verdict")
+    kept = drop_rows(docs, verdict, id_col, text_col)
+    repeats = verdict.where("_n > 1 AND _stays")
+    return kept if repeats.isEmpty() else kept.unionByName(one_row_each(docs, repeats, id_col, text_col))
 
 
 def over_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:

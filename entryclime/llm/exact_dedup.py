@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entryclime.llm.common import ascii_lower, maybe_member, membership_words, text_or_empty
+from entryclime.llm.common import ascii_lower, keep_chosen, maybe_member, membership_words, text_or_empty
 from entryclime.session import write_stage
 
 PREFIX_CHARS = 256
@@ -25,12 +25,12 @@ PREFIX_CHARS = 256
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      digest_all: bool = False) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256`` and the text hash ``_h``.
 
     Of equal texts the row with the largest id stays (a null id is smallest). Of repeated rows (same id and text)
     exactly one is marked kept. Null and empty texts form one group. An empty table gives no rows. Other columns,
     whatever their names, are not read. ``text_sha256`` is null for texts proven unique without reading them whole,
-    unless ``digest_all`` asks for every digest.
+    unless ``digest_all`` asks for every digest; ``_h`` is null for them too.
     """
     signed = docs.select(
         F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"),
@@ -42,7 +42,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                         "dedup_filter")
     digest = F.unhex(F.sha2(ascii_lower(F.col("_text")), 256))
     hashed = (maybe_member(signed, words, "_group", "_candidate")
-              .select("_id", "_len", "_candidate",
+              .select("_id", "_len", "_candidate", F.when(F.col("_candidate"), F.xxhash64("_text")).alias("_h"),
                       (digest if digest_all else F.when(F.col("_candidate"), digest)).alias("_sha"),
                       F.monotonically_increasing_id().alias("_row")))
     hashed = write_stage(hashed, "dedup_digests")
@@ -57,31 +57,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.when(F.col("_n").isNull(), F.col("_id")).otherwise(F.col("_keep._id")).alias("keep_id"),
         F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),
         (F.col("_n").isNull() | (F.col("_keep._row") == F.col("_row"))).alias("kept"),
-        F.lower(F.hex("_sha")).alias("text_sha256"))
+        F.lower(F.hex("_sha")).alias("text_sha256"), "_h")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, chosen as in ``exact_duplicates``; columns unchanged.
-
-    Only the ids and digests of rows that go are joined back. Of rows that repeat both id and normalised text,
-    one stays (the least as a whole row).
-    """
-    verdict = write_stage(exact_duplicates(docs, id_col, text_col).where("group_size > 1")
-                          .groupBy("doc_id", "text_sha256")
-                          .agg(F.count(F.lit(1)).alias("_n"), F.max("kept").alias("_stays"))
-                          .select(F.col("doc_id").alias("_vid"), F.unhex("text_sha256").alias("_vsha"), "_n", "_stays")
-                          .where("_n > 1 OR NOT _stays"), "dedup_verdict")
-    sha = F.unhex(F.sha2(ascii_lower(text_or_empty(text_col)), 256))
-
-    def match(rows: DataFrame):
-        return docs[id_col].eqNullSafe(rows["_vid"]) & (sha == rows["_vsha"])
-
-    kept = docs.join(verdict, match(verdict), "left_anti")
-    repeats = verdict.where("_n > 1 AND _stays")
-    if repeats.isEmpty():
-        return kept
-    columns = [F.col(c) for c in docs.columns]
-    once = (docs.join(repeats, match(repeats), "left_semi")
-            .groupBy(F.col(id_col).alias("_gid"), sha.alias("_gsha"))
-            .agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*"))
-    return kept.unionByName(once)
+    """``docs`` with one row of each group of equal texts, chosen as in ``exact_duplicates``; columns unchanged."""
+    groups = exact_duplicates(docs, id_col, text_col).where("group_size > 1")
+    return keep_chosen(docs, groups.select(F.col("doc_id").alias("_id"), "_h", F.col("kept").alias("_stays")),
+                       id_col, text_col)

@@ -30,7 +30,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts and the SHA-256 of its normalised text."""
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True).drop("_h")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entryclime.llm.common import drop_rows, one_row_each, row_key, text_or_empty
+from entryclime.llm.common import keep_chosen, row_key, text_or_empty
 from entryclime.llm.components import components
 from entryclime.session import write_stage
 
@@ -255,8 +255,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          .where("_n > 1").withColumnRenamed("component_id", "_component"), "simhash_groups")
     grouped = rows.join(groups, F.col("component_id").eqNullSafe(F.col("_component")))
     is_first = F.col("_id").eqNullSafe(F.col("_first.id")) & (F.col("_h") == F.col("_first.h"))
-    verdict = write_stage(grouped.groupBy("_id", "_h").agg(F.count(F.lit(1)).alias("_n"), F.max(is_first).alias("_stays"))
-                          .where("_n > 1 OR NOT _stays"), "simhash_out")
-    kept = drop_rows(docs, verdict, id_col, text_col)
-    repeats = verdict.where("_n > 1 AND _stays")
-    return kept if repeats.isEmpty() else kept.unionByName(one_row_each(docs, repeats, id_col, text_col))
+    return keep_chosen(docs, grouped.select("_id", "_h", is_first.alias("_stays")), id_col, text_col)
