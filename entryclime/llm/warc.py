@@ -26,6 +26,8 @@ from entryclime.session import scratch_path, write_stage
 CHUNK_BYTES = 1 << 20
 SPAN_BYTES = 32 << 20
 FILE_BYTES = 1 << 30
+#: Reading tasks at most; a task takes its spans one after the other.
+MAX_READERS = 20_000
 #: Payloads shorter than this are always written in full.
 REVISIT_BYTES = 100
 DATE = "1970-01-01T00:00:00Z"
@@ -176,7 +178,8 @@ def read_archives(spans: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES)
         if held:
             yield batch()
 
-    return spans.repartition(F.col("path"), F.col("start")).mapInArrow(run, CHUNKS)
+    # A number of partitions of its own: span rows are tiny, and sized by their bytes they would share one task.
+    return spans.repartition(min(MAX_READERS, max(1, spans.count()))).mapInArrow(run, CHUNKS)
 
 
 def _records(raw: pa.NativeFile, start: int, stop: int, chunk_bytes: int, number) -> Iterator[tuple]:
