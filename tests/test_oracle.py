@@ -10,6 +10,8 @@ from entryclime.plans.catalog import QUERIES
 from entryclime.plans.oracle import ORACLE_SQL
 from scripts.check_oracle import TABLES, digest, norm
 
+#: No port has all twelve months of a year at sf0.001; at sf0.01 every query has rows.
+EMPTY_ON_THE_SMALLEST = {"month_matrix", "matrix_to_series", "port_regression"}
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -31,7 +33,8 @@ def test_query_matches_oracle(spark, con, name):
     got = norm(E.queries()[name](spark, SF_DIR).toPandas())
     want = norm(con.sql(E.oracle_sql()[name]).df())
     assert list(got.columns) == list(want.columns)
-    assert len(got) == len(want) > 0
+    assert len(got) == len(want)
+    assert len(got) > 0 or name in EMPTY_ON_THE_SMALLEST
     assert digest(got) == digest(want)
 
 
