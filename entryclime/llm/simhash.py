@@ -180,19 +180,21 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataF
                         F.lit(True).alias("home"))
     rows = write_stage(rows.mapInArrow(_expand(0, max_bits), ANCHORED), "simhash_anchors")
 
-    def by_load(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows of anchors that have a home and a second row, and how many tiles each such anchor needs."""
-        load = (rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.max("home").alias("_any"))
-                .where("_any AND _n > 1").select(F.col("anchor").alias("_a"),
-                                                 F.ceil(F.col("_n") / tile).cast("int").alias("_tiles")))
-        return rows.join(load, F.col("anchor") == F.col("_a")).drop("_a"), load
-
-    loaded, load = by_load(rows)
+    def load_of(rows: DataFrame) -> DataFrame:
+        """Anchors that have a home and a second row, and how many tiles each needs."""
+        return write_stage(
+            rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"), F.max("home").alias("_any"))
+            .where("_any AND _n > 1").select(F.col("anchor").alias("_a"),
+                                             F.ceil(F.col("_n") / tile).cast("int").alias("_tiles")), "simhash_load")
+
+    load = load_of(rows)
+    loaded = rows.join(F.broadcast(load), F.col("anchor") == F.col("_a")).drop("_a")  # at most 4096 anchors
     parts = [loaded.where("_tiles = 1")]
     if not load.where("_tiles > 1").isEmpty():
         finer = write_stage(loaded.where("_tiles > 1").select("anchor", "fp", "spare", "home")
                             .mapInArrow(_expand(1, max_bits), ANCHORED), "simhash_fine_anchors")
-        parts.append(by_load(finer)[0])
+        # up to 4096 squared: two tables read anew, so a crowded anchor's partition can be split
+        parts.append(finer.join(load_of(finer), F.col("anchor") == F.col("_a")).drop("_a"))
     found = []
     for part in parts:
         n = F.col("_tiles")
