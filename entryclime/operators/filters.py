@@ -50,9 +50,9 @@ def non_empty(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
-def not_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows without a null in ``cols``, as one condition per column."""
-    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols], F.lit(True)))
+def all_present(cols: list[str]) -> Column:
+    """No null in ``cols``, as one condition per column."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols], F.lit(True))
 
 
 def any_null(cols: list[str]) -> Column:

@@ -64,7 +64,9 @@ def port_dimension(code_book: DataFrame, states: DataFrame, overrides: DataFrame
     cb = code_book.select(text.remove_quotes(code).alias("i94port_code"),
                           text.remove_quotes(value).alias("city_state"))
     cb = filters.exclude_prefixes(cb, "city_state", JUNK_PORT_PREFIXES)
-    parsed = parse_city_state(cb, "city_state").select("i94port_code", "city", "state_code")
+    # Through a one-element array: the filters below apply to its result and are not pushed back into
+    # the parsing, which would then run once more for each of them.
+    parsed = parse_city_state(cb, "city_state").select("i94port_code", F.inline(F.array(F.struct("city", "state_code"))))
     if overrides is not None:
         parsed = apply_overrides(parsed, overrides, "i94port_code", ["city", "state_code"])
     parsed = parsed.where(F.length("state_code") == 2).select(
@@ -188,9 +190,13 @@ def entry_fact(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) ->
     of a duplicated ``cicid`` is deterministic.
     """
     fact = typed_entries(raw.where(raw_entry_gate(stay_pattern)))
-    # One condition per column: a single "no nulls in these 18" predicate makes the optimizer
-    # derive a constraint for every subset of the columns it can rename.
-    return first_per_key(filters.not_null(fact, FACT_COLUMNS), ["cicid"])
+    # A row with a null gives no candidate, and a key without a candidate no row. As a filter below the aggregate
+    # the same condition would compute every typed column twice, and a single "no nulls in these 18" predicate makes
+    # the optimizer derive a constraint for every subset of the columns it can rename.
+    rest = [c for c in FACT_COLUMNS if c != "cicid"]
+    candidate = F.when(filters.all_present(FACT_COLUMNS), F.struct(*rest))
+    first = fact.groupBy("cicid").agg(F.min(candidate).alias("_row")).where(F.col("_row").isNotNull())
+    return first.select("cicid", "_row.*")
 
 
 def raw_entry_gate(stay_pattern: str = dates.STAY_PATTERN_STRICT) -> Column:
@@ -250,9 +256,7 @@ def _retained(counts: DataFrame) -> DataFrame:
 def entry_retention(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) -> DataFrame:
     """``retention`` of ``entry_fact`` in one read: rows and kept rows per ``cicid``, then their sums."""
     typed = typed_entries(raw)
-    kept = entry_gate(stay_pattern)
-    for c in FACT_COLUMNS:
-        kept = kept & F.col(c).isNotNull()
+    kept = entry_gate(stay_pattern) & filters.all_present(FACT_COLUMNS)
     per_key = typed.groupBy("cicid").agg(F.count(F.lit(1)).alias("_n"),
                                          F.max(F.coalesce(kept, F.lit(False)).cast("long")).alias("_kept"))
     return _retained(per_key.agg(F.sum("_n").alias("n_in"), F.sum("_kept").alias("n_out")))
