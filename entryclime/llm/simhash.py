@@ -215,11 +215,12 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataF
 # ------------------------------------------------------------------ documents
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: ``doc_id, fingerprint, component_id`` and the row's text hash ``_h``.
+    """One row per document: ``doc_id, fingerprint, component_id``, the row's text hash ``_h`` and ``_group``.
 
     ``component_id`` is the smallest id reachable over links of at most ``max_bits`` differing bits. Null and empty
     texts have fingerprint zero, which links like any other. Null ids never are the smallest unless all are null.
-    Repeated rows give repeated results, an empty table none; other columns are not read.
+    Unrelated components share it where their smallest ids are null or equal; ``_group``, the component's least
+    fingerprint, tells them apart. Repeated rows give repeated results, an empty table none; other columns are not read.
     """
     base = docs.select(*row_key(id_col, text_col), text_or_empty(text_col).alias("_text"))
     id_type = base.schema["_id"].dataType.simpleString()
@@ -235,12 +236,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = write_stage(components(links(nodes, max_bits), "simhash"), "simhash_roots")
     linked = roots.join(nodes, F.col("node") == F.col("fp"))
     least = linked.groupBy("root").agg(F.min("_least").alias("_first")).withColumnRenamed("root", "_root")
-    grouped = linked.join(least, F.col("root") == F.col("_root")).select(F.col("node").alias("_node"), "_first")
+    grouped = linked.join(least, F.col("root") == F.col("_root")).select(F.col("node").alias("_node"), "_first", "_root")
     of_fp = write_stage(nodes.join(grouped, F.col("fp") == F.col("_node"), "left")
                         .select(F.col("fp").alias("_fp"), F.coalesce("_first", "_least").alias("component_id"),
-                                F.coalesce("_node", "fp").alias("_any")).drop("_any"), "simhash_components")
+                                F.coalesce("_root", "fp").alias("_group")), "simhash_components")
     return marked.join(of_fp, F.col("fp") == F.col("_fp"), "left").select(
-        F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "_h")
+        F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "_h", "_group")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
@@ -251,10 +252,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     that repeat id and text, one.
     """
     rows = write_stage(near_duplicates(docs, id_col, text_col, width, max_bits)
-                       .select(F.col("doc_id").alias("_id"), "_h", "component_id"), "simhash_verdict")
+                       .select(F.col("doc_id").alias("_id"), "_h", "_group"), "simhash_verdict")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_h").alias("h")))
-    groups = write_stage(rows.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
-                         .where("_n > 1").withColumnRenamed("component_id", "_component"), "simhash_groups")
-    grouped = rows.join(groups, F.col("component_id").eqNullSafe(F.col("_component")))
+    groups = write_stage(rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+                         .where("_n > 1").withColumnRenamed("_group", "_of"), "simhash_groups")
+    grouped = rows.join(groups, F.col("_group") == F.col("_of"))
     is_first = F.col("_id").eqNullSafe(F.col("_first.id")) & (F.col("_h") == F.col("_first.h"))
     return keep_chosen(docs, grouped.select("_id", "_h", is_first.alias("_stays")), id_col, text_col)

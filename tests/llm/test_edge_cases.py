@@ -113,6 +113,16 @@ def test_repeated_rows_keep_exactly_one(awkward):
     assert len(kept) == 1
 
 
+def test_unrelated_texts_under_a_null_or_repeated_id_all_stay(spark):
+    """Smallest ids that are null or equal do not make a group; a linked copy still goes."""
+    words = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(12)]
+    rows = [(None, words[k]) for k in range(5)] + [(7, words[k]) for k in range(5, 10)]
+    rows += [(8, words[10]), (9, words[10].upper()), (None, words[0].upper())]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(r["doc_id"] for r in kept) == {None: 5, 7: 5, 8: 1}
+    assert {r["text"].lower() for r in kept} == set(words[:11])
+
+
 def test_warc_awkward_pages(spark):
     rows = [(1, None, None), (2, "http://a/\r\nb", "x" * 99), (3, "u", "x" * 99), (4, "u", "y" * 100), (5, None, "y" * 100),
             (4, "v", "y" * 100), (6, "u", ""), (None, "u", "z" * 200), (7, "u", "z" * 200), (8, "u", "é" * 3_000_000),
