@@ -6,8 +6,8 @@ of the centroid with the largest cosine, and is rejected where that cosine is fa
 length reach.
 
 Three passes over the corpus: document frequencies over all training texts, clustering of a sample of about
-``FIT_ROWS`` training texts per language (inside tasks, one language each), and prediction of every text. Sums leave a
-task as one row per bucket. The driver holds one row per bucket, per centroid and per length class only.
+``FIT_ROWS`` different training texts per language (inside tasks, one language each), and prediction of every text. Sums
+leave a task as one row per bucket. The driver holds one row per bucket, per centroid and per length class only.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from entryclime.session import write_stage
 
 DIM = 4096
 CENTROIDS = 3
-#: Training texts per language that clustering sees, at most about (a hash of the text picks them).
+#: Different training texts per language that clustering sees, at most about (a hash of the text picks them); all, if
+#: a language has no more.
 FIT_ROWS = 600
 ROUNDS = 12
 #: A text is rejected below this share of the cosine that 99 % of the training texts of its length class exceed.
@@ -36,6 +37,7 @@ LEAST_CLASS = 6
 UNKNOWN = "und"
 _PIECE = 1 << 20
 _ROWS = 256
+_PICKS = 1 << 40
 
 
 @functools.lru_cache(maxsize=1)
@@ -125,29 +127,41 @@ def _cluster(v: np.ndarray, k: int) -> np.ndarray:
 
 def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS,
         centroids: int = CENTROIDS) -> Model:
-    """Learn from every row of ``train`` with a language; texts that are null or hold no letter teach nothing."""
+    """Learn from every row of ``train`` with a language; texts that are null or hold no letter teach nothing.
+
+    Copies of a text count in the document frequencies, but as one text of their language in the clustering.
+    """
     rows = train.select(F.col(text_col).alias("_text"), F.col(lang_col).cast("string").alias("_lang")).where(
-        "_text IS NOT NULL AND _lang IS NOT NULL")
+        "_text IS NOT NULL AND _lang IS NOT NULL").withColumn("_key", F.xxhash64("_text"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, total = np.zeros(DIM, np.int64), 0
         for batch in batches:
-            for _, texts in _texts(batch, "_text"):
-                seen += (_counts(texts)[0] > 0).sum(axis=0)
+            for part, texts in _texts(batch, "_text"):
+                counts, letters = _counts(texts)
+                seen += (counts > 0).sum(axis=0)
                 total += len(texts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIM + 1)), pa.array(np.append(seen, total))],
-                                         ["bucket", "n"])
-
-    found = {r["bucket"]: r["n"] for r in rows.select("_text").mapInArrow(frequencies, "bucket long, n long")
+                some = pa.array(np.flatnonzero(letters))
+                none = pa.nulls(len(some), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_lang").take(some), part.column("_key").take(some), none, none], names)
+        none = pa.nulls(DIM + 1, pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.nulls(DIM + 1, pa.string()), none, pa.array(np.arange(DIM + 1)),
+                                          pa.array(np.append(seen, total))], names)
+
+    names = ["_lang", "_key", "bucket", "n"]  # a row per text with a letter, and one per bucket
+    counted = write_stage(rows.mapInArrow(frequencies, "_lang string, _key long, bucket long, n long"), "langid_counts")
+    found = {r["bucket"]: r["n"] for r in counted.where("bucket IS NOT NULL")
              .groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     total = found.get(DIM, 0)
     idf = np.array([np.log((1 + total) / (1 + found.get(b, 0))) + 1 for b in range(DIM)], np.float32)
 
-    share = (rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    share = (counted.where("bucket IS NULL").select("_lang", "_key").distinct()
+             .groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
              .select(F.col("_lang").alias("_l"), (F.lit(float(fit_rows)) / F.col("_n")).alias("_share")))
     picked = (rows.join(F.broadcast(share), F.col("_lang") == F.col("_l"))  # a row per language
-              .where(F.pmod(F.xxhash64("_text"), F.lit(1 << 20)) < F.col("_share") * (1 << 20))
-              .select("_lang", "_text"))
+              .where(F.pmod("_key", F.lit(_PICKS)) < F.col("_share") * _PICKS)
+              .groupBy("_lang", "_key").agg(F.first("_text").alias("_text")))  # copies fold before the exchange
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

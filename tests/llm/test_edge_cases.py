@@ -1,6 +1,7 @@
 """Every operator on nulls, empty and long texts, repeated rows, clashing columns, and empty tables."""
 
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -92,6 +93,28 @@ def test_without_training_rows(awkward, labels):
     assert {r["score"] for r in scores} == {0.5} and {r["predicted"] for r in scores} == {1}
 
 
+def test_copies_neither_hide_a_language_nor_fill_the_sample(spark):
+    """Language b: 30 texts and one page many times; texts without a letter are no texts of it. Clustering sees each once."""
+    def text(letters, k):
+        rng = random.Random(f"{letters}{k}")
+        return " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40))
+    rows = [(text("abcdefghij", k), "a") for k in range(400)]
+    rows += [(text("qrstuvwxyz", k), "b") for k in range(30)] + [(text("qrstuvwxyz", 99), "b")] * 20_000
+    rows += [(f"{k} !", "b") for k in range(20_000)]
+    train = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    for fit_rows in (20, 60):
+        model = langid.fit(train, fit_rows=fit_rows)
+        assert set(model.langs) == {"a", "b"}
+    wrong = [t for t, lang in rows[:430] if model.predict([t])[0] != [lang]]
+    assert not wrong
+    # one row per text: a model of the texts without copies has the same centroids under the same frequencies
+    once = [t for t, lang in dict.fromkeys(rows) if lang == "b" and any(c.isalpha() for c in t)]
+    v, _ = langid.vectors_of(sorted(once), model.idf)
+    v = v[sorted(range(len(v)), key=lambda i: v[i].tobytes())]
+    want = sorted(c.astype("f4").tobytes() for c in langid._cluster(v, langid.CENTROIDS))
+    assert sorted(c.tobytes() for c, lang in zip(model.centroids, model.langs, strict=True) if lang == "b") == want
+
+
 def test_scores_are_in_range(awkward, labels):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
                for r in quality.score_by_folds(awkward, labels).collect())
