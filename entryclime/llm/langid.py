@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entryclime.llm.common import drop_rows, fold, row_key
@@ -30,10 +30,13 @@ CENTROIDS = 3
 #: a language has no more.
 FIT_ROWS = 600
 ROUNDS = 12
-#: A text is rejected below this share of the cosine that 99 % of the training texts of its length class exceed.
+#: A text is rejected below this share of the cosine that 99 % of the training texts of about its length exceed.
 REJECT_SHARE = 0.5
+#: Different training texts that a floor needs; a length class with fewer takes in its neighbours.
+FLOOR_TEXTS = 50
 #: Texts of fewer letters than 2 to this power are one length class.
 LEAST_CLASS = 6
+MOST_CLASS = 31
 UNKNOWN = "und"
 _PIECE = 1 << 20
 _ROWS = 256
@@ -185,15 +188,27 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_ro
                  tuple(lang for lang, _ in learned))
 
 
+def _windows(texts: dict[int, int], least: int = FLOOR_TEXTS) -> dict[int, tuple[int, int]]:
+    """For every length class the first and last class of the least window around it with ``least`` texts, or with all."""
+    found, total = {}, sum(texts.values())
+    for own in range(LEAST_CLASS, MOST_CLASS + 1):
+        reach = 0
+        while sum(n for c, n in texts.items() if abs(c - own) <= reach) < min(least, total):
+            reach += 1
+        found[own] = max(LEAST_CLASS, own - reach), min(MOST_CLASS, own + reach)
+    return found
+
+
 def identify(docs: DataFrame, model: Model, learned_from: str = "true", id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, lang_pred, score, letters, rejected``, ``_h`` and the flag ``_learned``.
 
     ``score`` is the cosine of the nearest centroid. A null text or one without a letter is ``und`` with score 0 and is
-    rejected; so is a text whose score is below ``REJECT_SHARE`` of the first percentile of the training rows (the SQL
-    condition ``learned_from``) of its length class, the binary logarithm of its letters (short texts form one class).
-    A length class without training rows rejects nothing. Repeated rows give repeated results, an empty table none, and without any training
-    row every document is ``und``.
+    rejected; so is a text whose score is below ``REJECT_SHARE`` of the first percentile of the different training texts
+    (of the rows of the SQL condition ``learned_from``) of its length class, the binary logarithm of its letters (short
+    texts form one class). A class with fewer than ``FLOOR_TEXTS`` such texts, or none, takes in its neighbours until
+    there are enough, and the smallest score of so many texts never sets the floor; with fewer texts in all, it does.
+    Repeated rows give repeated results, an empty table none, and without any training row every document is ``und``.
     """
     base = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("_text"),
                        F.expr(learned_from).alias("_learned"))
@@ -210,9 +225,21 @@ def identify(docs: DataFrame, model: Model, learned_from: str = "true", id_col:
     rows = write_stage(base.mapInArrow(
         run, f"_id {id_type}, _h long, _learned boolean, lang_pred string, score double, letters long"), "langid_rows")
     length = F.greatest(F.lit(LEAST_CLASS), F.floor(F.log2(F.col("letters").cast("double"))).cast("int"))
-    floors = (rows.where("_learned AND letters > 0").groupBy(length.alias("_class"))
-              .agg((F.percentile_approx("score", 0.01, 10_000) * REJECT_SHARE).alias("_floor")))  # at most 64 rows
-    return (rows.withColumn("_length", length).join(F.broadcast(floors), F.col("_length") == F.col("_class"), "left")
+    learned = write_stage(rows.where("_learned AND letters > 0").groupBy("_h", length.alias("_length"))
+                          .agg(F.min("score").alias("score")), "langid_learned")
+    classes = learned.groupBy("_length").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 64 rows
+    texts = {r["_length"]: r["n"] for r in classes}
+    windows = _windows(texts)
+
+    def floor_of(low: int, high: int) -> Column:
+        n = sum(texts.get(c, 0) for c in range(low, high + 1))
+        rank = max(0.01, 1.5 / n) if n >= FLOOR_TEXTS else 0.01  # of enough texts, the second smallest at least
+        return F.percentile_approx(F.when(F.col("_length").between(low, high), F.col("score")), rank, 10_000)
+
+    own = sorted(set(windows.values()))
+    found = dict(zip(own, learned.agg(*[floor_of(*w) for w in own]).first(), strict=True))  # one row
+    floors = F.array(*[F.lit(found[windows[c]]).cast("double") for c in sorted(windows)])
+    return (rows.withColumn("_floor", F.get(floors, length - LEAST_CLASS) * REJECT_SHARE)
             .select(F.col("_id").alias("doc_id"), "lang_pred", "score", "letters",
                     (F.col("lang_pred").eqNullSafe(UNKNOWN) | F.coalesce(F.col("score") < F.col("_floor"), F.lit(False)))
                     .alias("rejected"), "_h", "_learned"))

@@ -334,3 +334,27 @@ def test_gibberish_is_rejected(spark):
            for i in range(5)]
     found = langid.identify_by_folds(docs.unionByName(spark.createDataFrame(odd, docs.schema)))
     assert {r["rejected"] for r in found.where("doc_id >= 100000").collect()} == {True}
+
+
+def test_every_length_has_a_floor(spark):
+    """Gibberish longer than any training text is rejected, and labelled gibberish alone in its length is no measure."""
+    from entryclime.llm import langid
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    rng = random.Random(11)
+    odd = [(100_000 + n, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n // 6)), lang,
+            None, None) for n, lang in ((300, None), (1800, None), (18_000, None), (180_000, None), (720_000, "en"))]
+    both = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    found = langid.identify(both, model, "lang IS NOT NULL").collect()
+    assert {r["doc_id"] for r in found if r["rejected"] and r["doc_id"] >= 100_000} == {r[0] for r in odd}
+    assert sum(r["rejected"] for r in found if r["doc_id"] < 100_000) <= 0.002 * len(found)
+
+
+def test_windows_of_length_classes():
+    from entryclime.llm import langid
+
+    windows = langid._windows({6: 3, 8: 10, 9: 12, 11: 4, 14: 1}, 10)
+    assert set(windows) == set(range(6, 32))
+    assert [windows[c] for c in (6, 8, 9, 10, 14, 20)] == [(6, 8), (8, 8), (9, 9), (9, 11), (9, 19), (9, 31)]
+    assert langid._windows({}, 10)[7] == (7, 7) and langid._windows({8: 3}, 10)[7] == (6, 8)
