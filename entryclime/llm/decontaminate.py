@@ -4,6 +4,8 @@ A mask names the positions of a token window that are hashed; the others are ign
 not hide the match. Hashes of all benchmark windows are joined with those of all document windows, and each hit is
 verified on its alignment: ``WINDOW`` consecutive aligned tokens around the hit, of which at least ``SHARE`` are equal.
 The two masks together hit every such window that differs in at most two tokens, wherever they are (a test lists all).
+Items of 8 to 12 tokens get two more masks of weight 5, which together with the first hit every item with the
+substitutions that ``SHARE`` allows; shorter ones are hashed as a whole. Documents meet only masks of lengths that occur.
 
 Document windows are never shuffled. A fixed-size membership filter over the benchmark hashes (2 MB, broadcast) passes
 only windows that may be hits, and those alone, with their few neighbouring tokens, meet the seeds. The seeds are
@@ -19,12 +21,23 @@ from entryclime.llm.common import drop_rows, maybe_member, membership_words, row
 from entryclime.session import write_stage
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
+SHORT_MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5))
 WINDOW = 13
+#: Items of fewer tokens are found only whole.
+LEAST_TOKENS = 8
 SHARE = 0.8
 BROADCAST_SEEDS = 500_000
+#: Every mask with the fewest and the most tokens of the items that it serves.
+_SEEDS = (*((m, LEAST_TOKENS, None) for m in MASKS), *((m, LEAST_TOKENS, WINDOW - 1) for m in SHORT_MASKS),
+          *((tuple(range(n)), n, n) for n in range(1, LEAST_TOKENS)))
 _REACH = max(m[-1] for m in MASKS) + WINDOW - 1
 
 
+def _serves(which: int, tokens: int) -> bool:
+    _, least, most = _SEEDS[which]
+    return least <= tokens and (most is None or tokens <= most)
+
+
 def _tokens(text: Column) -> Column:
     """Lower-case runs of letters, marks and digits; the first and last may be empty, which equals no benchmark token."""
     return F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+")
@@ -32,7 +45,7 @@ def _tokens(text: Column) -> Column:
 
 def _mask_hash(tokens: str, at: str, which: int) -> Column:
     """Hash of the masked tokens at ``at``; null where the window runs past the end."""
-    mask = MASKS[which]
+    mask = _SEEDS[which][0]
     picked = [F.get(F.col(tokens), F.col(at) + o) for o in mask]
     return F.when(F.col(at) + mask[-1] < F.size(tokens), F.xxhash64(F.lit(which), *picked))
 
@@ -48,28 +61,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``doc_id, item_id, matched_tokens, first_token, hits`` and the document row's text hash ``_h``.
 
     ``matched_tokens`` is the most equal tokens in any aligned window of 13, at least 80 % of the window (of the item,
-    if it is shorter); ``first_token`` is where the first verified seed starts. Clean documents have no row. Items of
-    fewer than 8 tokens, null and empty texts match nothing. Repeated document rows share one result row, repeated
+    if it is shorter, and all of an item of fewer than 8); ``first_token`` is where the first verified seed starts. Clean
+    documents have no row. Null and empty texts match nothing. Repeated document rows share one result row, repeated
     items are reported by their ids; empty tables give no rows. Other columns are not read.
     """
     clean = F.filter(_tokens(text_or_empty(item_text)), lambda t: t != "")
     items = write_stage(benchmark.select(F.col(item_id).alias("item_id"), clean.alias("_words"))
                         .select(F.monotonically_increasing_id().alias("_item"), "*"), "benchmark_items")
+    lengths = {WINDOW} | {r["n"] for r in items.select(F.least(F.lit(WINDOW), F.size("_words")).alias("n"))
+                          .distinct().collect()}  # at most 14 rows
+    masks = [k for k in range(len(_SEEDS)) if any(_serves(k, n) for n in lengths)]
+
+    def seed(which: int) -> Column:
+        _, least, most = _SEEDS[which]
+        return F.when(F.size("_words").between(least, 2**31 - 1 if most is None else most),
+                      _mask_hash("_words", "_at", which))
+
     placed = items.select("_item", "_words", F.posexplode("_words").alias("_at", "_word"))
     seeds = write_stage(
-        placed.select("_item", "_at", F.explode(F.array(*[_mask_hash("_words", "_at", k) for k in range(len(MASKS))]))
-                      .alias("_hash")).where("_hash IS NOT NULL"), "benchmark_seeds")
+        placed.select("_item", "_at", F.explode(F.array(*[seed(k) for k in masks])).alias("_hash")).where("_hash IS NOT NULL"), "benchmark_seeds")
     words = write_stage(membership_words(seeds, "_hash"), "benchmark_filter")
     small = seeds.count() <= BROADCAST_SEEDS
 
     windows = (docs.select(*row_key(id_col, text_col), _tokens(text_or_empty(text_col)).alias("_tokens"))
                .select("*", F.posexplode_outer("_tokens").alias("_pos", "_token")).drop("_token"))
-    for k in range(len(MASKS)):
+    for k in masks:
         windows = windows.withColumn(f"_hash{k}", _mask_hash("_tokens", "_pos", k))
         windows = maybe_member(windows, words, f"_hash{k}", f"_maybe{k}")
-    maybe = (windows.where(" OR ".join(f"_maybe{k}" for k in range(len(MASKS))))
+    maybe = (windows.where(" OR ".join(f"_maybe{k}" for k in masks))
              .select("_id", "_h", "_pos", _around("_tokens", "_pos").alias("_here"),
-                     F.explode(F.array(*[F.when(F.col(f"_maybe{k}"), F.col(f"_hash{k}")) for k in range(len(MASKS))]))
+                     F.explode(F.array(*[F.when(F.col(f"_maybe{k}"), F.col(f"_hash{k}")) for k in masks]))
                      .alias("_seed")).where("_seed IS NOT NULL"))
     bounded = F.broadcast if small else (lambda df: df)
     hits = (maybe.join(bounded(seeds), F.col("_seed") == F.col("_hash"))
@@ -81,7 +102,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.sequence(F.lit(1), F.lit(_REACH + 1)),
         lambda s: F.aggregate(F.slice(F.col("_same"), s, F.lit(WINDOW)), F.lit(0), lambda x, y: x + y)))
     measured = hits.select("*", same.alias("_same")).select("*", best.alias("_best"))
-    enough = F.when(F.col("_best") >= F.ceil(F.col("_width") * SHARE), F.col("_pos"))
+    need = F.when(F.col("_width") < LEAST_TOKENS, F.col("_width")).otherwise(F.ceil(F.col("_width") * SHARE))
+    enough = F.when(F.col("_best") >= need, F.col("_pos"))
     return (measured.select("*", enough.alias("_sound")).groupBy("_id", "_h", "item_id")
             .agg(F.max("_best").alias("matched_tokens"), F.min("_sound").alias("first_token"),
                  F.count("_sound").alias("hits"))

@@ -138,6 +138,39 @@ def test_masks_hit_every_window_with_two_substitutions():
                    for at in range(decontaminate.WINDOW - mask[-1]))
 
 
+def _allowed(n):
+    return n - -(-8 * n // 10) if n >= 8 else 0
+
+
+@pytest.mark.parametrize("n", range(1, 20))
+def test_seeds_hit_every_placement(n):
+    masks = [m for k, (m, *_) in enumerate(decontaminate._SEEDS) if decontaminate._serves(k, n)]
+    for wrong in itertools.combinations(range(min(n, 13)), _allowed(min(n, 13))):
+        assert any(not {at + o for o in mask} & set(wrong) for mask in masks for at in range(min(n, 13) - mask[-1])), wrong
+
+
+def test_short_items_are_found(spark):
+    """Items of 1 to 14 tokens with every placement of the allowed substitutions; with one more, or in part, none."""
+    items, docs, want = {}, {}, set()
+    for n in range(1, 15):
+        words = [f"i{n}t{k}" for k in range(n)]
+        items[n] = " ".join(words)
+        k = _allowed(min(n, 13))
+        for wrong in itertools.chain(itertools.combinations(range(n), k), itertools.combinations(range(n), k + 1)):
+            d = len(docs)
+            inner = " ".join("zzz" if x in wrong else w for x, w in enumerate(words))
+            docs[d] = inner if d % 2 else f"some text before {inner} and after"
+            gone = max(sum(s <= x < s + 13 for x in range(n) if x not in wrong) for s in range(max(1, n - 12)))
+            if gone >= min(n, 13) - k:
+                want.add((d, n))
+    items[15], docs[10_000] = items[3], "ends with " + items[3].upper()
+    want |= {(d, 15) for d, i in want if i == 3} | {(10_000, 3), (10_000, 15)}
+    found = decontaminate.contaminated(spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+                                       spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+    assert {r["matched_tokens"] for r in found if r["item_id"] == 5} == {5}
+
+
 def test_leaks_match_brute_force(spark, con, texts):
     items = dict(con.sql("SELECT item_id, text FROM benchmark").fetchall())
     rng = random.Random(3)
