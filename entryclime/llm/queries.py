@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entryclime.llm import (bpe, chat, decontaminate, exact_dedup, langid, quality, sharding, simhash, token_counts,
-                            warc)
+from entryclime.llm import (bpe, chat, collocations, decontaminate, exact_dedup, langid, quality, sharding, simhash,
+                            suffix_dedup, token_counts, vector_codes, warc)
 from entryclime.llm.common import table
 
 
@@ -77,6 +78,23 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every finite embedding as 16 codebook indexes."""
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 bytes and more that a smaller document holds, as counts and a digest."""
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of two and three words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -88,4 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_bpe": op9_bpe,
     "op10_langid": op10_langid,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_collocations": op13_collocations,
 }
