@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Text bytes whose keys fall into one bucket.
 BUCKET_BYTES = 4 << 20
 #: What a row costs beside its text.
@@ -28,12 +28,13 @@ def input_bytes(docs: DataFrame, text: Column) -> int:
     return docs.agg(F.sum(F.octet_length(text).cast("long") + ROW_BYTES)).first()[0] or 0
 
 
-def blocked(docs: DataFrame, columns: list[Column], total: int) -> DataFrame:
+def blocked(docs: DataFrame, columns: list[Column], total: int, parts: int = 1) -> DataFrame:
     """``columns`` with ``_row`` (a unique long) and ``_block``, exchanged once so that a block lies in one partition.
 
-    Rows are dealt out in turn, whatever they hold, so no key or copy can make a block large.
+    Rows are dealt out in turn, whatever they hold, so no key or copy can make a block large. ``parts`` makes blocks
+    smaller by that factor.
     """
-    blocks = max(1, -(-total // BLOCK_BYTES))
+    blocks = max(1, -(-total * parts // BLOCK_BYTES))
     return (docs.select(*columns, F.monotonically_increasing_id().alias("_row"))
             .withColumn("_block", F.pmod(F.col("_row"), F.lit(blocks))).repartition(blocks, "_block"))
 
@@ -59,6 +60,23 @@ def records_of(payloads: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.nd
     return np.frombuffer(b"".join(whole), np.uint8).reshape(-1, width), counts
 
 
+def packed_columns(columns: list[np.ndarray]) -> bytes:
+    """Arrays of equal length one after the other, compressed: columns shrink much better than rows."""
+    return pa.compress(b"".join(np.ascontiguousarray(c).tobytes() for c in columns), codec="zstd", asbytes=True)
+
+
+def unpacked_columns(payload: bytes, n: int, kinds: list[str | tuple[str, int]]) -> list[np.ndarray]:
+    """The ``n`` rows of each array of ``packed_columns``; a kind is a type, or a type and how many a row has."""
+    shapes = [(np.dtype(k), ()) if isinstance(k, str) else (np.dtype(k[0]), (k[1],)) for k in kinds]
+    sizes = [n * t.itemsize * int(np.prod(shape)) for t, shape in shapes]
+    data = pa.decompress(payload, decompressed_size=sum(sizes), codec="zstd", asbytes=True) if n else b""
+    out, at = [], 0
+    for (t, shape), size in zip(shapes, sizes, strict=True):
+        out.append(np.frombuffer(data, t, size // t.itemsize, at).reshape(n, *shape))
+        at += size
+    return out
+
+
 class KeyPacking:
     """The leading ``bits + kept`` bits of 64-bit keys, grouped by their first ``bits``, with ``extra`` bits beside each.
 

@@ -134,10 +134,6 @@ class Phrases:
         self.first, self.length = np.concatenate(self.first), np.concatenate(self.length)
         self.keys = tuple(np.concatenate(k) for k in self.keys)
 
-    def words(self, first: int, length: int) -> bytes:
-        return b" ".join(self.data[self.starts[first]:self.ends[first + length - 1]].split())
-
-
 def _block_phrases(table: pa.Table) -> tuple[list[str], Iterator[Phrases]]:
     """The languages of a block and its phrases, a batch of texts at a time."""
     langs = table.column("lang").to_pylist()
@@ -195,35 +191,43 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
+def _equal(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal pairs of hashes side by side, and where the different ones start."""
+    order = np.argsort(a, kind="stable")
+    starts = runs(a[order])
+    if not np.array_equal(b[order], np.repeat(b[order[starts]], np.diff(np.append(starts, len(a))))):
+        order = np.lexsort((b, a))
+        starts = np.flatnonzero(np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)]))
+    return order, starts
+
+
 def _count(packing: KeyPacking):
     """Exact counts of a block's candidate phrases, and of all its words (a phrase of no words)."""
     def run(texts: pa.Table, chosen: pa.Table) -> pa.Table:
         united = np.sort(packing.unpack(chosen.column("bucket").to_numpy(), chosen.column("payload"))[0])
         names, batches = _block_phrases(texts)
         words = np.zeros(len(names), np.int64)
-        kept, columns = [], [[] for _ in range(6)]
+        data, columns = [], [[] for _ in range(7)]
         for phrases in batches:
             words += np.bincount(phrases.word_owners, minlength=len(names))
             at = np.flatnonzero(_among(packing.short(phrases.keys[0]), united))
             a, b = (k[at] for k in phrases.keys)
-            order = np.lexsort((b, a))
-            starts = np.flatnonzero(np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
-                                    ) if len(at) else np.empty(0, np.int64)
+            order, starts = _equal(a, b)
             one = at[order[starts]]
+            first, length = phrases.first[one], phrases.length[one]
             for column, values in zip(columns, (a[order[starts]], b[order[starts]], np.diff(np.append(starts, len(at))),
-                                                phrases.first[one], phrases.length[one],
-                                                np.full(len(one), len(kept))), strict=True):
+                                                phrases.starts[first], phrases.ends[first + length - 1], length,
+                                                len(names) * len(data) + phrases.owner[first]), strict=True):
                 column.append(values)
-            kept.append(phrases)
-        a, b, n, first, length, batch = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
-        order = np.lexsort((b, a))
-        starts = np.flatnonzero(np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
-                                ) if len(order) else np.empty(0, np.int64)
+            data.append(phrases.data)
+        a, b, n, begin, end, length, source = (np.concatenate(c) if c else np.empty(0, np.int64) for c in columns)
+        order, starts = _equal(a, b)
         total = np.add.reduceat(n[order], starts) if len(starts) else np.empty(0, np.int64)
         one = order[starts]
-        phrase = [kept[k].words(f, m) for k, f, m in zip(batch[one].tolist(), first[one].tolist(), length[one].tolist(),
-                                                         strict=True)]
-        owner = [names[kept[k].owner[f]] for k, f in zip(batch[one].tolist(), first[one].tolist(), strict=True)]
+        owner = [names[k] for k in (source[one] % len(names)).tolist()]
+        phrase = [data[k][i:j] if m == 1 else b" ".join(data[k][i:j].split()) for k, i, j, m in
+                  zip((source[one] // len(names)).tolist(), begin[one].tolist(), end[one].tolist(), length[one].tolist(),
+                      strict=True)]
         return pa.table({"lang": pa.array(owner + names, pa.string()),
                          "words": pa.array(np.concatenate([length[one], np.zeros(len(names), np.int64)]), pa.int32()),
                          "phrase": pa.array(phrase + [b""] * len(names), pa.binary()),
@@ -245,7 +249,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     total = input_bytes(docs, text)
     packing = KeyPacking(bucket_bits(total), 38, least.bit_length())
     texts = blocked(docs, [F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
-                           text.alias("text")], total)
+                           text.alias("text")], total, parts=2)
     mined = texts.groupBy("_block").applyInArrow(_mine(packing, least), "bucket int, payload binary, block long")
     chosen = mined.groupBy("bucket").applyInArrow(_unite(packing, shards, least),
                                                   "block long, bucket int, payload binary")

@@ -6,7 +6,7 @@ then lie side by side, and all but those of the smallest document id are removed
 
 Which suffixes matter is found first, since most passages are unique. The anchor of a passage is its least-hashed
 substring of ``ANCHOR`` bytes (the leftmost of equals), which equal passages share at the same place. An anchor serves
-all consecutive passages that it is least in, so about one byte in fourteen starts an anchor.
+all consecutive passages that it is least in, so about one byte in sixteen starts an anchor.
 
 1. Each block of documents sends its different anchor hashes to buckets, which answer those that several documents hold
    (``blocks.py``).
@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entryclime.llm.blocks import KeyPacking, binary_rows, blocked, bucket_bits, input_bytes, mixed, ranges, records_of, runs
+from entryclime.llm.blocks import (KeyPacking, blocked, bucket_bits, input_bytes, mixed, packed_columns, ranges, runs,
+                                   unpacked_columns)
 
 LENGTH = 50
-ANCHOR = 24
+ANCHOR = 20
 #: Passages that one anchor can serve: the places of an anchor in a passage.
 PLACES = LENGTH - ANCHOR + 1
 #: Bytes around an anchor that its passages reach: ``PLACES - 1`` before it, ``LENGTH`` from it on.
@@ -46,11 +47,12 @@ SHALLOW = 2
 SMALL = 1 << 12
 _BASE = 0x9E3779B97F4A7C15
 
-SENT = np.dtype([("context", "u1", CONTEXT_BYTES), ("doc", "<i8"), ("ref", "<i4")])
-MEMBER = np.dtype([("ref", "<i4"), ("row", "<i4"), ("at", "<i8")])
-VICTIM = np.dtype([("row", "<i4"), ("first", "<i8"), ("last", "<i8")])
-MASK = np.dtype([("ref", "<i4"), ("places", "<u8")])
-PASSED = "bucket int, block long, kind int, payload binary"
+#: The columns of what is exchanged by kind: contexts (bytes, first and last place, id) and, on their way back, masks of
+#: places; ranges of passages that must go; the members of a context.
+CONTEXT, MASK = [("u1", AROUND), "u1", "u1", "<i8"], ["<i4", "<u8"]
+VICTIM, MEMBER = ["<i4", "<i8", "<i8"], ["<i4", "<i4", "<i8"]
+PASSED = "bucket int, block long, kind int, first int, n int, payload binary"
+RETURNED = "block long, kind int, n int, payload binary"
 
 
 # ------------------------------------------------------------------ anchors
@@ -118,7 +120,7 @@ def anchors(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     stops = np.append(starts[1:], len(at)) - 1
     real = at[starts] >= 0
     starts, stops = starts[real], stops[real]
-    return at[starts], starts, stops, hashes[at[starts]]
+    return at[starts], starts, stops, mixed(hashes[at[starts]])  # least hashes are small, so spread them again
 
 
 def _block_rows(table: pa.Table) -> tuple[pa.Table, list[bytes], np.ndarray]:
@@ -217,21 +219,14 @@ def _least(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _victims(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Ranges of passages as records, neighbouring ranges of a row joined."""
+def _victims(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of passages by row, neighbouring ranges joined."""
     order = np.lexsort((first, row))
     row, first, last = row[order], first[order], last[order]
     apart = np.ones(len(row), bool)
     apart[1:] = (row[1:] != row[:-1]) | (first[1:] > last[:-1] + 1)
     starts = np.flatnonzero(apart)
-    out = np.empty(len(starts), VICTIM)
-    out["row"], out["first"] = row[starts], first[starts]
-    out["last"] = np.maximum.reduceat(last, starts) if len(starts) else 0
-    return out
-
-
-def _bytes_of(records: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(records).view(np.uint8).reshape(len(records), records.dtype.itemsize)
+    return row[starts], first[starts], np.maximum.reduceat(last, starts) if len(starts) else last
 
 
 def _surroundings(packing: KeyPacking, bits: int):
@@ -241,7 +236,7 @@ def _surroundings(packing: KeyPacking, bits: int):
         order = np.argsort(short)
         short, crowded = short[order], crowded[order] > 0
         _, texts_, ids = _block_rows(texts)
-        contexts, keys, docs, rows, ats, gone = [], [], [], [], [], []
+        contexts, keys, docs, members, gone, held = [], [], [], [], [], 0
         for data, owner, ends, offsets in _segments(texts_) if len(short) else ():
             at, first, last, hashes = anchors(data, ends)
             near = np.minimum(np.searchsorted(short, packing.short(hashes)), len(short) - 1)
@@ -253,8 +248,8 @@ def _surroundings(packing: KeyPacking, bits: int):
             apart = np.repeat(split, served)
             low = first[which] + np.where(apart, step, 0)
             high = np.where(apart, low, last[which])
-            for lo in range(0, len(which), 1 << 16):
-                w, f, t, own = (x[lo:lo + (1 << 16)] for x in (which, low, high, apart))
+            for start in range(0, len(which), 1 << 15):
+                w, f, t, own = (x[start:start + (1 << 15)] for x in (which, low, high, apart))
                 records = _contexts(np.frombuffer(data, np.uint8), at[w], f, t)
                 one, group = _equal_records(records)
                 part = np.searchsorted(ends, at[w], "right") - 1
@@ -262,43 +257,42 @@ def _surroundings(packing: KeyPacking, bits: int):
                 least = _least(group, ids[row], len(one))
                 over = ids[row] > least[group]
                 gone.append(_victims(row[over], (f + shift)[over], (t + shift)[over]))
-                stay = ~over
-                base = sum(len(c) for c in contexts)
                 contexts.append(records[one])
                 keys.append(np.where(own[one], _record_hashes(records[one]), hashes[w[one]]))
                 docs.append(least)
-                member = np.empty(stay.sum(), MEMBER)
-                member["ref"], member["row"] = base + group[stay], row[stay]
-                member["at"] = (at[w] - (PLACES - 1) + shift)[stay]
-                ats.append(member)
+                members.append((held + group[~over], row[~over], (at[w] - (PLACES - 1) + shift)[~over]))
+                held += len(one)
         if not contexts:
-            return _passed([], [], [])
-        records, key, doc, member = (np.concatenate(x) for x in (contexts, keys, docs, ats))
+            return _passed([])
+        records, key, doc = (np.concatenate(x) for x in (contexts, keys, docs))
+        contexts.clear()
+        ref, row, at = (np.concatenate([m[k] for m in members]) for k in range(3))
         one, group = _equal_records(records)
         least = _least(group, doc, len(one))
-        over = doc > least[group]  # contexts that a smaller id of the block holds too
-        lost = member[over[member["ref"]]]
-        places = records[lost["ref"]][:, AROUND:AROUND + 2].astype(np.int64)
-        gone.append(_victims(lost["row"], lost["at"] + places[:, 0], lost["at"] + places[:, 1]))
-        member = member[~over[member["ref"]]]
-        member["ref"] = group[member["ref"]]
-        sent = np.empty(len(one), SENT)
-        sent["context"], sent["doc"], sent["ref"] = records[one], least, np.arange(len(one))
+        over = (doc > least[group])[ref]  # contexts that a smaller id of the block holds too
+        gone.append(_victims(row[over], at[over] + records[ref[over], AROUND], at[over] + records[ref[over], AROUND + 1]))
         bucket = (key[one] >> np.uint64(64 - bits)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        starts = runs(bucket[order])
-        block = texts.column("_block")[0].as_py()
-        kept = [_bytes_of(x) for x in (np.concatenate(gone), member)]
-        home = block % (1 << bits)
-        payloads = binary_rows(np.append(starts, len(order)), _bytes_of(sent[order])).to_pylist()
-        return _passed([*bucket[order][starts].tolist(), home, home], [0] * len(starts) + [1, 2],
-                       payloads + [k.tobytes() for k in kept], block)
+        number = np.empty(len(one), np.int32)
+        number[order] = np.arange(len(one))
+        sent, block = records[one[order]], texts.column("_block")[0].as_py()
+        out = [(int(bucket[order[lo]]), block, 0, lo, hi - lo, packed_columns(
+            [sent[lo:hi, :AROUND], sent[lo:hi, AROUND], sent[lo:hi, AROUND + 1], least[order[lo:hi]]]))
+            for lo, hi in ranges(runs(bucket[order]), len(order))]
+        ref = number[group[ref[~over]]]
+        by = np.argsort(ref, kind="stable")
+        for kind, kinds, columns in ((1, VICTIM, [np.concatenate([g[k] for g in gone]) for k in range(3)]),
+                                     (2, MEMBER, [ref[by], row[~over][by], at[~over][by]])):
+            out.append((block % (1 << bits), block, kind, 0, len(columns[0]),
+                        packed_columns([c.astype(t) for c, t in zip(columns, kinds, strict=True)])))
+        return _passed(out)
     return run
 
 
-def _passed(buckets: list, kinds: list, payloads: list, block: int = 0) -> pa.Table:
-    return pa.table({"bucket": pa.array(buckets, pa.int32()), "block": pa.array([block] * len(buckets), pa.int64()),
-                     "kind": pa.array(kinds, pa.int32()), "payload": pa.array(payloads, pa.binary())})
+def _passed(rows: list[tuple]) -> pa.Table:
+    names = ["bucket", "block", "kind", "first", "n", "payload"]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.table({name: pa.array([r[k] for r in rows], t) for k, (name, t) in enumerate(zip(names, types, strict=True))})
 
 
 # ------------------------------------------------------------------ deep-shallow sorting
@@ -388,60 +382,61 @@ def suffix_order(text: Text, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return order, np.flatnonzero(new)
 
 
+def _columns(table: pa.Table, kind: int, kinds: list) -> list[np.ndarray]:
+    """The columns of all rows of one kind, one after the other."""
+    rows = table.filter(pa.array(table.column("kind").to_numpy() == kind))
+    parts = [unpacked_columns(p, n, kinds) for p, n in zip(rows.column("payload").to_pylist(),
+                                                           rows.column("n").to_pylist(), strict=True)]
+    return [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else unpacked_columns(b"", 0, kinds)
+
+
 def _compare(table: pa.Table) -> pa.Table:
     """A bucket's passages in order: those that a smaller id holds too, back to their blocks; what is known passes on."""
     kind = table.column("kind").to_numpy()
-    known = table.filter(pa.array(kind > 0))
+    known = table.filter(pa.array(kind > 0)).select(["block", "kind", "n", "payload"])
     mine = table.filter(pa.array(kind == 0))
-    if not mine.num_rows:
-        return known.select(["block", "kind", "payload"])
-    octets, counts = records_of(mine.column("payload"), SENT.itemsize)
-    sent = octets.reshape(-1).view(SENT)
-    context = sent["context"]
-    first, last = (context[:, AROUND + k].astype(np.int64) for k in (0, 1))
-    served = last - first + 1
-    record = np.repeat(np.arange(len(sent)), served)
+    context, first, last, owner = _columns(table, 0, CONTEXT)
+    served = last.astype(np.int64) - first + 1
+    record = np.repeat(np.arange(len(context)), served)
     place = np.arange(len(record)) - np.repeat(np.cumsum(served) - served, served) + first[record]
-    starts = record * AROUND + place
-    text = Text(np.ascontiguousarray(context[:, :AROUND]).reshape(-1), LENGTH)
-    order, begins = suffix_order(text, starts)
-    doc = sent["doc"][order // AROUND]
+    text = Text(context.reshape(-1), LENGTH)
+    order, begins = suffix_order(text, record * AROUND + place)
+    if not len(order):
+        return known
+    doc = owner[order // AROUND]
     least = np.minimum.reduceat(doc, begins)
-    over = doc > np.repeat(least, np.diff(np.append(begins, len(order))))
-    gone = order[over]
-    masks = np.zeros(len(sent), np.uint64)
+    gone = order[doc > np.repeat(least, np.diff(np.append(begins, len(order))))]
+    masks = np.zeros(len(context), np.uint64)
     np.bitwise_or.at(masks, gone // AROUND, np.uint64(1) << (gone % AROUND).astype(np.uint64))
-    some = np.flatnonzero(masks)
-    out = np.empty(len(some), MASK)
-    out["ref"], out["places"] = sent["ref"][some], masks[some]
-    source = np.repeat(np.arange(len(counts)), counts)[some]
-    at = runs(source)
-    blocks = mine.column("block").to_numpy()[source[at]]
-    payloads = binary_rows(np.append(at, len(out)), _bytes_of(out)) if len(at) else pa.array([], pa.binary())
-    new = pa.table({"block": pa.array(blocks, pa.int64()), "kind": pa.array(np.zeros(len(at)), pa.int32()),
-                    "payload": payloads})
-    return pa.concat_tables([known.select(["block", "kind", "payload"]).cast(new.schema), new])
+    out = [known]
+    counts = mine.column("n").to_numpy()
+    ends = np.cumsum(counts)
+    for block, start, lo, hi in zip(mine.column("block").to_pylist(), mine.column("first").to_pylist(),
+                                    ends - counts, ends, strict=True):
+        some = np.flatnonzero(masks[lo:hi])
+        if len(some):
+            payload = packed_columns([(start + some).astype("<i4"), masks[lo:hi][some]])
+            out.append(pa.table({"block": pa.array([block]), "kind": pa.array([0], pa.int32()),
+                                 "n": pa.array([len(some)], pa.int32()), "payload": pa.array([payload], pa.binary())}))
+    return pa.concat_tables(out, promote_options="permissive")
 
 
 # ------------------------------------------------------------------ texts without repeats
-def _gone(table: pa.Table) -> np.ndarray:
+def _gone(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All ranges of passages to remove of a block, from what it knew and from the masks of its contexts."""
-    kind = table.column("kind").to_numpy()
-
-    def records(k: int, kind_of: np.dtype) -> np.ndarray:
-        octets, _ = records_of(table.filter(pa.array(kind == k)).column("payload"), kind_of.itemsize)
-        return octets.reshape(-1).view(kind_of)
-
-    masks, gone, member = records(0, MASK), records(1, VICTIM), records(2, MEMBER)
-    masks = masks[np.argsort(masks["ref"])]
-    if not len(masks):
-        return gone
-    near = np.minimum(np.searchsorted(masks["ref"], member["ref"]), len(masks) - 1)
-    member, places = member[masks["ref"][near] == member["ref"]], masks["places"][near][masks["ref"][near] == member["ref"]]
-    bits = np.unpackbits(places.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    which, place = np.nonzero(bits)
-    at = member["at"][which] + place
-    return np.concatenate([gone, _victims(member["row"][which], at, at)])
+    known = _columns(table, 1, VICTIM)
+    marked, masks = _columns(table, 0, MASK)
+    ref, row, at = _columns(table, 2, MEMBER)
+    if len(marked):
+        order = np.argsort(marked)
+        marked, masks = marked[order], masks[order]
+        near = np.minimum(np.searchsorted(marked, ref), len(marked) - 1)
+        mine = marked[near] == ref
+        bits = np.unpackbits(masks[near[mine]].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        which, place = np.nonzero(bits)
+        start = at[mine][which] + place
+        known = [np.concatenate(c) for c in zip(known, _victims(row[mine][which], start, start), strict=True)]
+    return _victims(*(c.astype(np.int64) for c in known))
 
 
 def _cut(texts: pa.Table, returned: pa.Table) -> pa.Table:
@@ -449,12 +444,10 @@ def _cut(texts: pa.Table, returned: pa.Table) -> pa.Table:
     table, data, _ = _block_rows(texts)
     spans: list[list[dict]] = [[] for _ in data]
     kept = list(data)
-    gone = _gone(returned)
-    gone = _victims(gone["row"].astype(np.int64), gone["first"], gone["last"])
-    at = runs(gone["row"])
-    for lo, hi in ranges(at, len(gone)):
-        row = int(gone["row"][lo])
-        start, stop = gone["first"][lo:hi], gone["last"][lo:hi] + LENGTH
+    rows, first, last = _gone(returned)
+    for lo, hi in ranges(runs(rows), len(rows)):
+        row = int(rows[lo])
+        start, stop = first[lo:hi], last[lo:hi] + LENGTH
         reach = np.maximum.accumulate(stop)
         begins = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
         starts, stops = start[begins].tolist(), reach[np.append(begins[1:], len(start)) - 1].tolist()
@@ -482,7 +475,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     announced = rows.groupBy("_block").applyInArrow(_announce(packing), "bucket int, block long, payload binary")
     answers = announced.groupBy("bucket").applyInArrow(_answer(packing), "block long, bucket int, payload binary")
     contexts = rows.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(_surroundings(packing, bits), PASSED)
-    returned = contexts.groupBy("bucket").applyInArrow(_compare, "block long, kind int, payload binary")
+    returned = contexts.groupBy("bucket").applyInArrow(_compare, RETURNED)
     id_type = docs.schema[id_col].dataType.simpleString()
     return rows.groupBy("_block").cogroup(returned.groupBy("block")).applyInArrow(
         _cut, f"doc_id {id_type}, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
