@@ -5,8 +5,9 @@ mining each shard at that lowered support misses nothing:
 
 1. The blocks of documents (``blocks.py``) are dealt to the shards. A block counts the hashes of all its phrases of one
    to ``LONGEST`` words and sends each hash once to its bucket.
-2. A bucket adds up every shard apart, at the lowered support, and unites what is frequent in any shard. Each block
-   that holds a united hash is told so. No shard is mined by one task and no list of phrases is broadcast.
+2. A bucket adds up every shard apart, at the lowered support, and unites what is frequent in any shard; what all shards
+   together leave below the support (a block sends its counts up to that) is no candidate. Each block that holds a
+   united hash is told so. No shard is mined by one task and no list of phrases is broadcast.
 3. The blocks count their candidates again, now as words, and the sums over all blocks are the exact counts.
 
 A hash only chooses candidates: two phrases with one hash make each other candidates at most, never share a count.
@@ -164,7 +165,7 @@ def _mine(packing: KeyPacking, most: int):
     return run
 
 
-def _unite(packing: KeyPacking, shards: int, least: int):
+def _unite(packing: KeyPacking, shards: int, least: int, support: int):
     """The hashes of a bucket that are frequent in any shard, to every block that holds them."""
     def run(table: pa.Table) -> pa.Table:
         buckets, blocks = table.column("bucket").to_numpy(), table.column("block").to_numpy()
@@ -173,8 +174,10 @@ def _unite(packing: KeyPacking, shards: int, least: int):
         order = np.lexsort((blocks[held] % shards, short))
         by_shard = np.flatnonzero(np.concatenate([[True], (np.diff(short[order]) != 0)
                                                   | (np.diff((blocks[held] % shards)[order]) != 0)]))
-        frequent = np.add.reduceat(count[order].astype(np.int64), by_shard) >= least
-        united = np.unique(short[order][by_shard[frequent]])
+        local = np.add.reduceat(count[order].astype(np.int64), by_shard)
+        whole = runs(short[order][by_shard])
+        united = short[order][by_shard[whole]][(np.maximum.reduceat(local, whole) >= least)
+                                               & (np.add.reduceat(local, whole) >= support)]
         found = np.flatnonzero(_among(short, united))
         starts = runs(held[found])
         rows, payloads = held[found][starts], []
@@ -202,7 +205,7 @@ def _equal(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(packing: KeyPacking):
-    """Exact counts of a block's candidate phrases, and of all its words (a phrase of no words)."""
+    """Exact counts of a block's candidate phrases, and of all its words (the empty phrase)."""
     def run(texts: pa.Table, chosen: pa.Table) -> pa.Table:
         united = np.sort(packing.unpack(chosen.column("bucket").to_numpy(), chosen.column("payload"))[0])
         names, batches = _block_phrases(texts)
@@ -229,7 +232,6 @@ def _count(packing: KeyPacking):
                   zip((source[one] // len(names)).tolist(), begin[one].tolist(), end[one].tolist(), length[one].tolist(),
                       strict=True)]
         return pa.table({"lang": pa.array(owner + names, pa.string()),
-                         "words": pa.array(np.concatenate([length[one], np.zeros(len(names), np.int64)]), pa.int32()),
                          "phrase": pa.array(phrase + [b""] * len(names), pa.binary()),
                          "f": pa.array(np.concatenate([total, words]).astype(np.int64))})
     return run
@@ -247,17 +249,19 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     least = -(-support // shards)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     total = input_bytes(docs, text)
-    packing = KeyPacking(bucket_bits(total), 38, least.bit_length())
+    packing = KeyPacking(bucket_bits(total), 36, support.bit_length())
     texts = blocked(docs, [F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
                            text.alias("text")], total, parts=2)
-    mined = texts.groupBy("_block").applyInArrow(_mine(packing, least), "bucket int, payload binary, block long")
-    chosen = mined.groupBy("bucket").applyInArrow(_unite(packing, shards, least),
+    mined = texts.groupBy("_block").applyInArrow(_mine(packing, support), "bucket int, payload binary, block long")
+    chosen = mined.groupBy("bucket").applyInArrow(_unite(packing, shards, least, support),
                                                   "block long, bucket int, payload binary")
     counted = texts.groupBy("_block").cogroup(chosen.groupBy("block")).applyInArrow(
-        _count(packing), "lang string, words int, phrase binary, f long")
-    return (counted.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-            .where((F.col("words") == 0) | (F.col("f") >= support))
-            .select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f"))
+        _count(packing), "lang string, phrase binary, f long")
+    phrase = F.col("phrase").cast("string")
+    words = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ", -1)))
+    return (counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+            .select("lang", words.alias("words"), phrase.alias("phrase"), "f")
+            .where((F.col("words") == 0) | (F.col("f") >= support)))
 
 
 def _exact(name: str):

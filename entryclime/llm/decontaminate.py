@@ -7,7 +7,8 @@ The two masks together hit every such window that differs in at most two tokens,
 Items of 8 to 12 tokens get two more masks of weight 5, which together with the first hit every item with the
 substitutions that ``SHARE`` allows; shorter ones are hashed as a whole. Documents meet only masks of lengths that occur.
 
-Document windows are never shuffled. A fixed-size membership filter over the benchmark hashes (2 MB, broadcast) passes
+A document is cut into blocks of ``BLOCK_TOKENS`` windows before any window becomes a row, so what a window carries does
+not grow with its document. Document windows are never shuffled. A fixed-size membership filter over the benchmark hashes (2 MB, broadcast) passes
 only windows that may be hits, and those alone, with their few neighbouring tokens, meet the seeds. The seeds are
 broadcast only while they are at most ``BROADCAST_SEEDS`` rows; beyond that the hits are exchanged by hash.
 """
@@ -31,6 +32,8 @@ BROADCAST_SEEDS = 500_000
 _SEEDS = (*((m, LEAST_TOKENS, None) for m in MASKS), *((m, LEAST_TOKENS, WINDOW - 1) for m in SHORT_MASKS),
           *((tuple(range(n)), n, n) for n in range(1, LEAST_TOKENS)))
 _REACH = max(m[-1] for m in MASKS) + WINDOW - 1
+#: Windows of a document that travel together, with the tokens that they reach.
+BLOCK_TOKENS = 256
 
 
 def _serves(which: int, tokens: int) -> bool:
@@ -55,6 +58,23 @@ def _around(tokens: str, at: str) -> Column:
     return F.transform(F.sequence(F.lit(1 - WINDOW), F.lit(_REACH)), lambda d: F.get(F.col(tokens), F.col(at) + d))
 
 
+def _windows(docs: DataFrame) -> DataFrame:
+    """Every position of every document: ``_id, _h``, the block's ``_tokens``, ``_at`` in them and ``_pos`` in the text."""
+    before, after = WINDOW - 1, _REACH
+
+    def block(start: Column) -> Column:
+        lead = F.least(start, F.lit(before))
+        return F.struct(start.alias("start"), lead.alias("lead"),
+                        F.slice(F.col("_all"), start - lead + 1, lead + BLOCK_TOKENS + after).alias("tokens"))
+
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_all") - 1, F.lit(0)), F.lit(BLOCK_TOKENS))
+    blocks = docs.select("_id", "_h", F.explode(F.transform(starts, block)).alias("_block"))
+    at = blocks.select("_id", "_h", F.col("_block.start").alias("_start"), F.col("_block.lead").alias("_lead"),
+                       F.col("_block.tokens").alias("_tokens"), F.posexplode("_block.tokens").alias("_at", "_token"))
+    own = at.where((F.col("_at") >= F.col("_lead")) & (F.col("_at") < F.col("_lead") + BLOCK_TOKENS))
+    return own.select("_id", "_h", "_tokens", "_at", (F.col("_start") + F.col("_at") - F.col("_lead")).alias("_pos"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per contaminated document and benchmark item:
@@ -62,11 +82,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     ``matched_tokens`` is the most equal tokens in any aligned window of 13, at least 80 % of the window (of the item,
     if it is shorter, and all of an item of fewer than 8); ``first_token`` is where the first verified seed starts. Clean
-    documents have no row. Null and empty texts match nothing. Repeated document rows share one result row, repeated
+    documents have no row. Texts of any length are searched whole, at a cost in proportion to their length. Null and empty texts match nothing. Repeated document rows share one result row, repeated
     items are reported by their ids; empty tables give no rows. Other columns are not read.
     """
     clean = F.filter(_tokens(text_or_empty(item_text)), lambda t: t != "")
     items = write_stage(benchmark.select(F.col(item_id).alias("item_id"), clean.alias("_words"))
+                        .where(F.size("_words") > 0)  # so that there are no more items than seeds
                         .select(F.monotonically_increasing_id().alias("_item"), "*"), "benchmark_items")
     lengths = {WINDOW} | {r["n"] for r in items.select(F.least(F.lit(WINDOW), F.size("_words")).alias("n"))
                           .distinct().collect()}  # at most 14 rows
@@ -83,13 +104,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     words = write_stage(membership_words(seeds, "_hash"), "benchmark_filter")
     small = seeds.count() <= BROADCAST_SEEDS
 
-    windows = (docs.select(*row_key(id_col, text_col), _tokens(text_or_empty(text_col)).alias("_tokens"))
-               .select("*", F.posexplode_outer("_tokens").alias("_pos", "_token")).drop("_token"))
+    windows = _windows(docs.select(*row_key(id_col, text_col), _tokens(text_or_empty(text_col)).alias("_all")))
     for k in masks:
-        windows = windows.withColumn(f"_hash{k}", _mask_hash("_tokens", "_pos", k))
+        windows = windows.withColumn(f"_hash{k}", _mask_hash("_tokens", "_at", k))
         windows = maybe_member(windows, words, f"_hash{k}", f"_maybe{k}")
     maybe = (windows.where(" OR ".join(f"_maybe{k}" for k in masks))
-             .select("_id", "_h", "_pos", _around("_tokens", "_pos").alias("_here"),
+             .select("_id", "_h", "_pos", _around("_tokens", "_at").alias("_here"),
                      F.explode(F.array(*[F.when(F.col(f"_maybe{k}"), F.col(f"_hash{k}")) for k in masks]))
                      .alias("_seed")).where("_seed IS NOT NULL"))
     bounded = F.broadcast if small else (lambda df: df)
@@ -111,6 +131,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold a passage of the benchmark; columns unchanged."""
+    """``docs`` without the rows that hold a passage of the benchmark; columns unchanged.
+
+    Null, empty and very long texts, repeated rows and empty tables are as in ``contaminated``; null ids stay apart by
+    their texts. Other columns, whatever their names, are passed on.
+    """
     found = contaminated(docs, benchmark, id_col, text_col).withColumnRenamed("doc_id", "_id")
     return drop_rows(docs, found, id_col, text_col)

@@ -192,8 +192,8 @@ def vector_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """One row per kept vector: ``vec_id, code, error, label_error, codebooks_sha256``.
 
     Rows whose vector is null, empty, or holds a null or non-finite component are dropped, and so are vectors of another
-    length than that of the smallest kept id (there is one codebook). A length that is no multiple of 16 is padded with
-    zeros. Components of 2^19 and more raise an error, as their distances would not be exact. With fewer than 64 kept
+    padded length than that of the smallest kept id (there is one codebook). Lengths are padded with zeros to a multiple
+    of 16. Components of 2^19 and more raise an error, as their distances would not be exact. With fewer than 64 kept
     rows the codebooks have that many entries. Null ids are kept and come last; repeated rows give repeated results;
     an empty table gives none. ``label_error`` sums the error over equal labels, null being one. Other columns are not read.
     """
