@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,6 +45,43 @@ def duplicate_keys(df: DataFrame, keys: list[str], values: list[str] | None = No
     return g.where(F.col("n_rows") > 1)
 
 
+def violations(df: DataFrame, name: str, bad: Column) -> DataFrame:
+    """A check ``(table_name, n_rows, passed)`` that no row is ``bad``; ``n_rows`` counts those that are."""
+    n = F.count_if(F.coalesce(bad, F.lit(False))).cast("long")
+    return df.agg(n.alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows", (F.col("n_rows") == 0).alias("passed"))
+
+
+def unique_key(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """A check that no key occurs twice; ``n_rows`` counts the keys that do."""
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return violations(repeated, name, F.col("_n") > 1)
+
+
+def file_row_counts(spark: SparkSession, paths: dict[str, str]) -> dict[str, int]:
+    """Rows of Parquet tables from their files' footers, without reading a column.
+
+    The count is pushed into the columnar source, which the row-based file source does not do, so the counting runs in
+    a session that has its own SQL settings; the caller's are not changed.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+
+    def rows(path: str) -> int:
+        try:
+            return counted_by_footers(own, path).first()["n_rows"] or 0
+        except AnalysisException as e:
+            if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a partitioned table without rows has no files
+                return 0
+            raise
+
+    return {name: rows(path) for name, path in paths.items()}
+
+
+def counted_by_footers(session: SparkSession, path: str) -> DataFrame:
+    return session.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def parquet_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     """Tables listed at check time (not when the pipeline is defined)."""
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}

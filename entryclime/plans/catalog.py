@@ -11,7 +11,7 @@ import datetime as _dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
@@ -22,7 +22,7 @@ from entryclime.operators.dedup import apply_overrides, distinct_rows, first_per
 from entryclime.plans import fixtures as fx
 from entryclime.plans import jobs
 from entryclime.session import scratch_path, write_stage
-from entryclime.sources import readers, writers
+from entryclime.sources import readers, releases, slices, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -123,16 +123,15 @@ def geo_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def geo_distance_haversine(spark: SparkSession, d: str) -> DataFrame:
-    n = fx.table(spark, d, "nation")
-    a = n.select(F.col("n_nationkey").alias("a_key"), F.col("n_regionkey").alias("a_region"),
-                 fx.key_latitude(F.col("n_nationkey")).alias("a_lat"),
-                 fx.key_longitude(F.col("n_nationkey")).alias("a_lon"))
-    b = n.select(F.col("n_nationkey").alias("b_key"), F.col("n_regionkey").alias("b_region"),
-                 fx.key_latitude(F.col("n_nationkey")).alias("b_lat"),
-                 fx.key_longitude(F.col("n_nationkey")).alias("b_lon"))
-    j = a.join(b, a["a_region"] == b["b_region"])
-    return j.select(_long("a_key").alias("a_nationkey"), _long("b_key").alias("b_nationkey"),
-                    _r6(geo.haversine_km("a_lat", "a_lon", "b_lat", "b_lon")).alias("distance_km"))
+    """Every customer's distance to the point of its nation."""
+    k = F.col("c_custkey")
+    c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey", fx.key_latitude(k).alias("c_lat"),
+                                              fx.key_longitude(k).alias("c_lon"))
+    n = fx.table(spark, d, "nation").select("n_nationkey", fx.key_latitude(F.col("n_nationkey")).alias("n_lat"),
+                                            fx.key_longitude(F.col("n_nationkey")).alias("n_lon"))
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"])
+    return j.select(_long("c_custkey").alias("c_custkey"), _long("n_nationkey").alias("n_nationkey"),
+                    _r6(geo.haversine_km("c_lat", "c_lon", "n_lat", "n_lon")).alias("distance_km"))
 
 
 def _abs_int_text(x: Column) -> Column:
@@ -514,11 +513,11 @@ def missing_departure_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def keyed_override(spark: SparkSession, d: str) -> DataFrame:
-    n = fx.table(spark, d, "nation")
-    r = fx.table(spark, d, "region")
-    overrides = r.select(F.col("r_regionkey").alias("n_nationkey"), F.col("r_name").alias("n_name"))
-    o = apply_overrides(n, overrides, "n_nationkey", ["n_name"])
-    return o.select(_long("n_nationkey").alias("n_nationkey"), "n_name", _long("n_regionkey").alias("n_regionkey"))
+    """Customers, with the name of the supplier of the same key where there is one."""
+    c = fx.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    overrides = fx.table(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"))
+    o = apply_overrides(c, overrides, "c_custkey", ["c_name"])
+    return o.select(_long("c_custkey").alias("c_custkey"), "c_name", _long("c_nationkey").alias("c_nationkey"))
 
 
 def entity_profiles(spark: SparkSession, d: str) -> DataFrame:
@@ -575,7 +574,7 @@ def missing_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact_clean(spark: SparkSession, d: str) -> DataFrame:
-    f = jobs.entry_fact(fact_raw(spark, d))
+    f = jobs.entry_fact_narrow(write_stage(fact_raw(spark, d), "raw_entries"))
     return f.select(*[_long(c).alias(c) if c in jobs.FACT_INT_COLUMNS else F.col(c) for c in jobs.FACT_COLUMNS])
 
 
@@ -711,18 +710,19 @@ def drifting_month_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def delimited_scan(spark: SparkSession, d: str) -> DataFrame:
-    r = fx.table(spark, d, "region")
-    key = F.col("r_regionkey").cast("string")
-    book = writers.write_text(r.select(F.concat(F.lit("'"), key, F.lit("'\t=\t'"), F.col("r_name"), F.lit("'"))),
+    """Suppliers through a quoted code book, ``=`` lines and a semicolon CSV."""
+    r = fx.table(spark, d, "supplier").select("s_suppkey", "s_name")
+    key = F.col("s_suppkey").cast("string")
+    book = writers.write_text(r.select(F.concat(F.lit("'"), key, F.lit("'\t=\t'"), F.col("s_name"), F.lit("'"))),
                               scratch_path(spark, "codebook"))
-    eq = writers.write_text(r.select(F.concat(key, F.lit("="), F.col("r_name"))), scratch_path(spark, "eq"))
+    eq = writers.write_text(r.select(F.concat(key, F.lit("="), F.col("s_name"))), scratch_path(spark, "eq"))
     semi = writers.write_csv(r, scratch_path(spark, "semi"), sep=";")
     a = readers.read_code_book(spark, book, sep="\t=\t", key="k", value="v").withColumn("fmt", F.lit("tab_eq_tab"))
     schema2 = StructType([StructField("k", StringType()), StructField("v", StringType())])
     b = readers.read_csv(spark, eq, schema2, header=False, sep="=").withColumn("fmt", F.lit("eq"))
     c = readers.read_csv(spark, semi, schema2, header=True, sep=";").withColumn("fmt", F.lit("semicolon"))
     u = reduce(DataFrame.unionByName, [a, b, c])
-    return u.select("fmt", F.col("k").cast("long").alias("r_regionkey"), F.col("v").alias("r_name"))
+    return u.select("fmt", F.col("k").cast("long").alias("s_suppkey"), F.col("v").alias("s_name"))
 
 
 ORDERS_PART_SCHEMA = StructType([
@@ -815,13 +815,97 @@ def insert_fact(spark: SparkSession, d: str) -> DataFrame:
 
 
 def insert_dimension(spark: SparkSession, d: str) -> DataFrame:
-    rows = fx.nation_dim(spark, d).select(_long("n_nationkey").alias("n_nationkey"), "n_name", "r_name").distinct()
-    with writers.temporary_table(spark, "nation_dim", "n_nationkey BIGINT, n_name STRING, r_name STRING") as name:
+    """Suppliers with their nation, inserted, and replaced by a second run."""
+    supplier, nation = fx.table(spark, d, "supplier"), fx.table(spark, d, "nation")
+    j = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+    rows = j.select(_long("s_suppkey").alias("s_suppkey"), "s_name", "n_name")
+    with writers.temporary_table(spark, "supplier_dim", "s_suppkey BIGINT, s_name STRING, n_name STRING") as name:
         writers.insert(rows, name)
         writers.insert(rows, name, overwrite=True)  # re-run does not duplicate rows
         return writers.read_back(spark, name)
 
 
+def ordered_month_export(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of each month by price, numbered over many tasks, through a CSV of several ordered parts a month."""
+    o = fx.table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("year_month"), "o_orderkey",
+                                            "o_totalprice")
+    path = writers.write_ordered_csv(o, scratch_path(spark, "ordered_months"), "year_month",
+                                     [F.desc("o_totalprice"), F.asc("o_orderkey")])
+    schema = "index long, o_orderkey long, o_totalprice double, year_month string, part string"
+    return spark.read.schema(schema).option("header", True).csv(path).select("year_month", "index", "o_orderkey")
+
+
+def sliced_load(spark: SparkSession, d: str) -> DataFrame:
+    """Events loaded by day: first without every seventh event, then whole (late rows), then again; and by month."""
+    e = fx.table(spark, d, "events").select("event_id", "ts", "user_id", "value")
+    schema = "event_id long, ts timestamp_ntz, user_id long, value double"
+    found = []
+    for grain in ("month", "day"):
+        root = scratch_path(spark, f"events_by_{grain}")
+        slices.load(e.where(F.col("event_id") % 7 != 0), root, "ts", grain)
+        late = slices.load(e, root, "ts", grain)
+        again = slices.load(e, root, "ts", grain)
+        if not again.isEmpty():
+            raise AssertionError("a load of the same rows must change nothing")
+        replaced = late.select(F.col("slice").alias("_slice"), F.lit(1).alias("_late"))
+        rows = slices.read(spark, root, schema)
+        found.append(rows.join(replaced, F.col("slice") == F.col("_slice"), "left")
+                     .groupBy(F.lit(grain).alias("grain"), "slice").agg(
+                         F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("sum_event_id"),
+                         (F.max("_late") == 1).alias("replaced")))
+    return reduce(DataFrame.unionByName, found).withColumn("replaced", F.coalesce("replaced", F.lit(False)))
+
+
+def observed_fact_load(spark: SparkSession, d: str) -> DataFrame:
+    """Rows read and kept, and rows by visa type, counted while the fact is written: one read of the raw rows."""
+    read = Observation()
+    raw = fact_raw(spark, d).observe(read, F.count(F.lit(1)).alias("n_in"))
+    kept = writers.write_observed(jobs.entry_fact(raw), scratch_path(spark, "observed_fact"),
+                                  {"n_out": F.count(F.lit(1)), "n_f1": F.count_if(F.col("visa_type") == "F1"),
+                                   "n_ports": F.approx_count_distinct("i94port_city_code")})
+    n_in, n_out = read.get["n_in"], kept["n_out"]
+    one = spark.createDataFrame([(n_in, n_out, kept["n_f1"])], "n_in long, n_out long, n_f1 long")
+    return one.withColumn("retention", _r6(F.try_divide("n_out", "n_in")))
+
+
+def file_row_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every table from the footers of its files."""
+    counts = quality.file_row_counts(spark, {t: f"{d.rstrip('/')}/{t}.parquet" for t in ALL_TABLES})
+    return spark.createDataFrame(sorted(counts.items()), "table_name string, n_rows long")
+
+
+def _no_repeats_or_gaps(tables: dict[str, DataFrame]) -> DataFrame:
+    fact = tables["entry_fact"]
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in jobs.FACT_COLUMNS])
+    return quality.unique_key(fact, "fact: cicid twice", ["cicid"]).unionByName(
+        quality.violations(fact, "fact: a column missing", missing))
+
+
+def published_release(spark: SparkSession, d: str) -> DataFrame:
+    """The fact of all years is published; a run that lost most rows and one with repeated rows fail their audits.
+
+    Read through the release log afterwards: the rows of the published fact per port and year, and the release's number.
+    """
+    root = scratch_path(spark, "releases")
+    fact = jobs.entry_fact_narrow(write_stage(fact_raw(spark, d), "raw_entries"))
+    first = releases.Staging(spark, root)
+    whole = first.write("entry_fact", fact, ["entry_year", "entry_month"])
+    first.write("ports", port_dimension(spark, d))
+    first.publish(_no_repeats_or_gaps)
+    for bad in (whole.where("entry_year = 1995"), whole.unionByName(whole.where("entry_month = 1"))):
+        failing = releases.Staging(spark, root)
+        failing.write("entry_fact", bad, ["entry_year", "entry_month"])
+        failing.carry("ports")
+        try:
+            failing.publish(_no_repeats_or_gaps, least_share=0.9)
+        except quality.QualityCheckError:
+            continue
+        raise AssertionError("an audit that must fail has passed")
+    release = releases.current(spark, root)
+    return release.read(spark, "entry_fact").groupBy("i94port_city_code", _long("entry_year").alias("entry_year")).agg(
+        F.count(F.lit(1)).alias("n_rows")).withColumn("release", F.lit(release.number).cast("long"))
+
+
 def gate_counts(spark: SparkSession, d: str) -> DataFrame:
     """The three kinds of row-count gate: CSV files, parquet folders and catalog tables."""
     root = scratch_path(spark, "gates")
@@ -840,29 +924,29 @@ PORTS_SCHEMA = StructType([StructField(n, StringType()) for n in ("i94port_code"
 
 
 def full_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Ports -> airports -> ports v2; climatology -> city temperature; fact; gate; analytical.
+    """Ports -> airports -> ports v2; climatology -> city temperature; fact; analytical; audit; publish.
 
-    Every step hands its table to the next through the shared folder (as the
-    scheduled jobs do). Gates run on the written tables: the port table as CSV,
-    all tables before the analytical step, and the analytical table after it.
+    Every step hands its table to the next through the release's folder (as the scheduled jobs do). The port table is a
+    CSV with a gate of its own. All other tables are staged, and become readable together once their audit has passed.
     """
     root = scratch_path(spark, "gated")
     writers.write_csv(port_dimension(spark, d), f"{root}/ports.csv")
     quality.assert_quality(quality.row_counts(quality.csv_tables(spark, root, ["ports.csv"])))
     ports = readers.read_csv(spark, f"{root}/ports.csv", PORTS_SCHEMA)
+    run = releases.Staging(spark, f"{root}/warehouse")
     airport_port = write_stage(jobs.airport_port_join(airport_rows(spark, d), ports, allow=AIRPORT_ALLOW,
                                                       deny=AIRPORT_DENY), "airport_port")
-    airports = write_stage(jobs.airport_dimension(airport_port), "airports")
-    ports2 = write_stage(jobs.port_dimension_v2(airport_port), "ports_v2")
+    run.write("airports", jobs.airport_dimension(airport_port))
+    ports2 = run.write("ports", jobs.port_dimension_v2(airport_port))
     clim = jobs.city_climatology(temperature_rows(spark, d, fx.CLIMATE_WINDOW), window=fx.CLIMATE_WINDOW)
-    city_temp = write_stage(jobs.city_temperature(clim, gazetteer_rows(spark, d)), "city_temperature")
-    cities = write_stage(jobs.us_cities(city_temp), "us_cities")
-    temp = write_stage(jobs.monthly_temperature(city_temp), "monthly_temperature")
-    fact = write_stage(jobs.entry_fact(fact_raw(spark, d)), "entry_fact", ["entry_year", "entry_month"])
-    quality.assert_quality(quality.row_counts({"airports": airports, "ports": ports2, "cities": cities,
-                                               "temperature": temp, "fact": fact}))
-    a = write_stage(jobs.analytical_table(fact, ports2, temp), "analytical")
-    quality.assert_quality(quality.row_counts({"analytical": a}))
+    city_temp = run.write("city_temperature", jobs.city_temperature(clim, gazetteer_rows(spark, d)))
+    run.write("us_cities", jobs.us_cities(city_temp))
+    temp = run.write("monthly_temperature", jobs.monthly_temperature(city_temp))
+    raw = write_stage(fact_raw(spark, d), "raw_entries")
+    fact = run.write("entry_fact", jobs.entry_fact_narrow(raw), ["entry_year", "entry_month"])
+    run.write("analytical", jobs.analytical_table(fact, ports2, temp))
+    run.publish(lambda tables: quality.unique_key(tables["entry_fact"], "fact: cicid twice", ["cicid"]))
+    a = releases.read_current(spark, f"{root}/warehouse", "analytical")
     return a.select("i94port_city_code", "city", "state_code", _r6("average_temperature").alias("average_temperature"),
                     _long("entry_year").alias("entry_year"), _long("entry_month").alias("entry_month"),
                     _long("count").alias("count"), _long("rank").alias("rank"))
@@ -932,6 +1016,11 @@ QUERIES: dict[str, Query] = {
     "json_stage_load": json_stage_load,
     "insert_fact": insert_fact,
     "insert_dimension": insert_dimension,
+    "ordered_month_export": ordered_month_export,
+    "sliced_load": sliced_load,
+    "observed_fact_load": observed_fact_load,
+    "file_row_counts": file_row_counts,
+    "published_release": published_release,
     "gate_counts": gate_counts,
     "full_pipeline": full_pipeline,
 }

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from entryclime.functions import dates, geo, text
 from entryclime.operators import aggregates as agg
-from entryclime.operators import filters, joins
+from entryclime.operators import dedup, filters, joins
 from entryclime.operators.dedup import apply_overrides, first_per_key
+from entryclime.schemas import ENTRY_FACT
 
 # Fixed values of the cleaning rules (they decide which rows survive).
 JUNK_PORT_PREFIXES = ["No PORT Code", "Collapsed"]
@@ -171,12 +172,7 @@ def monthly_temperature(city_temp: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- M8 fact
-FACT_COLUMNS = [
-    "cicid", "admission_number", "i94port_city_code", "destination_state_code", "allow_to_stay_date",
-    "airline_code", "flight_number", "visa_type", "arrival_date", "departure_date", "add_to_file_date",
-    "entry_year", "entry_month", "citizenship_of_country_id", "resident_of_country_id",
-    "visa_category_id", "entry_mode_id", "age",
-]
+FACT_COLUMNS = ENTRY_FACT.names
 FACT_INT_COLUMNS = ["entry_year", "entry_month", "citizenship_of_country_id", "resident_of_country_id",
                     "visa_category_id", "entry_mode_id", "age"]
 
@@ -199,6 +195,19 @@ def entry_fact(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) ->
     return first.select("cicid", "_row.*")
 
 
+def entry_fact_narrow(raw: DataFrame, stay_pattern: str = dates.STAY_PATTERN_STRICT) -> DataFrame:
+    """``entry_fact`` over stored records, which exchanges only the rows whose ``cicid`` may repeat.
+
+    A ``cicid`` that occurs once needs no exchange of its 18 columns: its row is kept or dropped where it is read.
+    """
+    gated = raw.where(raw_entry_gate(stay_pattern)).withColumn("_id", F.col("cicid").try_cast("bigint"))
+    alone, shared = dedup.split_repeated(gated, ["_id"])
+    # Behind a generator, so that no constraint is derived from the 18 null checks (see ``entry_fact``).
+    row = F.when(filters.all_present(FACT_COLUMNS), F.struct(*FACT_COLUMNS))
+    kept = typed_entries(alone).select(F.inline(F.filter(F.array(row), lambda r: r.isNotNull())))
+    return kept if shared is None else kept.unionByName(entry_fact(shared, stay_pattern))
+
+
 def raw_entry_gate(stay_pattern: str = dates.STAY_PATTERN_STRICT) -> Column:
     """Rows of the raw records that the monthly job lets in."""
     return _gate("dtaddto", "dtadfile", stay_pattern)

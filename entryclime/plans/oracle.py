@@ -306,10 +306,11 @@ p AS (SELECT c.c_custkey, s.s_suppkey, c.nation, {_lambert('c.lat', 'c.lon', 's.
 SELECT c_custkey, CAST(nation AS BIGINT) AS nationkey, count(*) AS n_suppliers, round(min(d), 6) AS nearest_km,
        round(max(d), 6) AS farthest_km
 FROM p WHERE d < 180 GROUP BY c_custkey, nation""",
-    "geo_distance_haversine": f"""WITH n AS (SELECT n_nationkey AS k, n_regionkey AS r, {_lat('n_nationkey')} AS lat, {_lon('n_nationkey')} AS lon FROM nation)
-SELECT CAST(a.k AS BIGINT) AS a_nationkey, CAST(b.k AS BIGINT) AS b_nationkey,
-       round({_haversine('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS distance_km
-FROM n a JOIN n b ON a.r = b.r""",
+    "geo_distance_haversine": f"""WITH c AS (SELECT c_custkey, c_nationkey, {_lat('c_custkey')} AS lat, {_lon('c_custkey')} AS lon FROM customer),
+n AS (SELECT n_nationkey, {_lat('n_nationkey')} AS lat, {_lon('n_nationkey')} AS lon FROM nation)
+SELECT CAST(c.c_custkey AS BIGINT) AS c_custkey, CAST(n.n_nationkey AS BIGINT) AS n_nationkey,
+       round({_haversine('c.lat', 'c.lon', 'n.lat', 'n.lon')}, 6) AS distance_km
+FROM c JOIN n ON c.c_nationkey = n.n_nationkey""",
     "hemisphere_parse": f"""WITH t AS (SELECT n_nationkey, n_regionkey, {_hemi_lat} AS lat_i, {_hemi_lon} AS lon_i
       FROM (SELECT c_custkey AS n_nationkey, c_nationkey % 5 AS n_regionkey FROM customer)),
 u AS (SELECT n_nationkey,
@@ -473,9 +474,9 @@ FROM orders GROUP BY 1""",
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2""",
     "missing_departure_profile": """SELECT CAST(c.c_nationkey AS BIGINT) AS c_nationkey, count(*) AS n_no_departure
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderstatus = 'O' GROUP BY 1""",
-    "keyed_override": """SELECT CAST(n.n_nationkey AS BIGINT) AS n_nationkey, COALESCE(r.r_name, n.n_name) AS n_name,
-       CAST(n.n_regionkey AS BIGINT) AS n_regionkey
-FROM nation n LEFT JOIN region r ON n.n_nationkey = r.r_regionkey""",
+    "keyed_override": """SELECT CAST(c.c_custkey AS BIGINT) AS c_custkey, COALESCE(s.s_name, c.c_name) AS c_name,
+       CAST(c.c_nationkey AS BIGINT) AS c_nationkey
+FROM customer c LEFT JOIN supplier s ON c.c_custkey = s.s_suppkey""",
     "quality_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) >= 1 AS passed FROM {t}" for t in ALL_TABLES),
     "port_dimension": f"WITH {_port_dim_ctes()} SELECT i94port_code, city, state_code, state_name FROM ports",
@@ -527,7 +528,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2, 3""",
         for n, t in (("customer.csv", "customer"), ("orders", "orders"), ("supplier", "supplier"))),
     "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
     "delimited_scan": " UNION ALL ".join(
-        f"SELECT '{f}' AS fmt, CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region"
+        f"SELECT '{f}' AS fmt, CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name FROM supplier"
         for f in ("tab_eq_tab", "eq", "semicolon")),
     "partitioned_roundtrip": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_date,
        o_orderpriority, CAST(year(o_orderdate) AS BIGINT) AS entry_year, CAST(month(o_orderdate) AS BIGINT) AS entry_month
@@ -548,8 +549,22 @@ FROM events GROUP BY 1""",
     "insert_fact": """SELECT CAST(c.c_nationkey AS BIGINT) AS port, CAST(year(o.o_orderdate) AS BIGINT) AS entry_year,
        CAST(month(o.o_orderdate) AS BIGINT) AS entry_month, count(*) AS n_orders
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2, 3""",
-    "insert_dimension": """SELECT DISTINCT CAST(n.n_nationkey AS BIGINT) AS n_nationkey, n.n_name, r.r_name
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "insert_dimension": """SELECT CAST(s.s_suppkey AS BIGINT) AS s_suppkey, s.s_name, n.n_name
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    "ordered_month_export": """SELECT strftime(o_orderdate, '%Y-%m') AS year_month, row_number() OVER (
+       PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_totalprice DESC, o_orderkey) - 1 AS index, o_orderkey
+FROM orders""",
+    "sliced_load": " UNION ALL ".join(
+        f"""SELECT '{grain}' AS grain, strftime(ts, '{form}') AS slice, count(*) AS n_rows,
+       CAST(sum(event_id) AS BIGINT) AS sum_event_id, bool_or(event_id % 7 = 0) AS replaced
+FROM events GROUP BY strftime(ts, '{form}')""" for grain, form in (("month", "%Y-%m"), ("day", "%Y-%m-%d"))),
+    "observed_fact_load": f"""WITH {_fact_clean_ctes()}
+SELECT (SELECT count(*) FROM raw) AS n_in, count(*) AS n_out, count(*) FILTER (WHERE visa_type = 'F1') AS n_f1,
+       round(count(*) / (SELECT count(*) FROM raw), 6) AS retention FROM fact_clean""",
+    "file_row_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ALL_TABLES),
+    "published_release": f"""WITH {_fact_clean_ctes()}
+SELECT i94port_city_code, CAST(entry_year AS BIGINT) AS entry_year, count(*) AS n_rows, CAST(1 AS BIGINT) AS release
+FROM fact_clean GROUP BY ALL""",
     "full_pipeline": f"""WITH {_airport_ctes()}, {_city_temp_ctes()}, {_fact_clean_ctes()},
 ports2 AS (SELECT DISTINCT i94port_code, city, state_code FROM air_dedup),
 temp2 AS (SELECT city, state_id, month, average_temperature FROM city_temp),

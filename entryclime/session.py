@@ -26,7 +26,14 @@ def _configured_dir(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: the named checkpoint folder, else one beside the warehouse tables."""
+    """The shared folder: the named checkpoint folder, else one beside the warehouse tables.
+
+    On a cluster one of the two must be named: the default warehouse is a folder of the driver's machine.
+    """
+    context = spark.sparkContext
+    named = _configured_dir(spark) or context.getConf().contains("spark.sql.warehouse.dir")
+    if not named and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir (or spark.sql.warehouse.dir) to a folder that all executors share")
     found = _configured_dir(spark) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)

@@ -16,10 +16,10 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from entryclime.session import MAX_RECORDS_PER_FILE, scratch_path
+from entryclime.session import MAX_RECORDS_PER_FILE, scratch_path, write_stage
 
 
 def rebalanced(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
@@ -73,6 +73,44 @@ def write_monthly_csv(df: DataFrame, path: str, month_col: str, order: list[Colu
     return path
 
 
+def write_ordered_csv(df: DataFrame, path: str, month_col: str, order: list[Column], index_col: str = "index",
+                      parts: int | None = None) -> str:
+    """CSV of any size, ordered and numbered per month: ``<month_col>=<month>/part=<k>/*.csv``, parts in order.
+
+    Rows are exchanged once, by ranges of (month, ``order``), so a month that holds most rows is spread over many tasks.
+    Each range is sorted apart and its rows numbered from its offset in the month, which follows from the counts per month
+    and range (at most months plus ranges rows, so their broadcast is small). The index runs from 0 without gaps. With
+    ties in ``order`` rows of one rank are numbered in no particular order.
+    """
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, F.col(month_col), *order).sortWithinPartitions(F.col(month_col), *order)
+    rows = write_stage(ranged.withColumn("_at", F.monotonically_increasing_id()), "ordered_rows")
+    range_ = F.shiftright("_at", 33)
+    counts = rows.groupBy(F.col(month_col).alias("_month"), range_.alias("_range")).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    by_range = Window.partitionBy("_month").orderBy("_range")
+    offsets = counts.select("_month", "_range", "_first", (F.row_number().over(by_range) - 1).alias("_part"),
+                            (F.sum("_n").over(by_range) - F.col("_n")).alias("_before"))
+    placed = rows.join(F.broadcast(offsets), rows[month_col].eqNullSafe(F.col("_month")) & (range_ == F.col("_range")))
+    numbered = placed.select(
+        month_col, (F.col("_before") + F.col("_at") - F.col("_first")).alias(index_col),
+        *[c for c in df.columns if c != month_col], F.lpad(F.col("_part").cast("string"), 6, "0").alias("part"))
+    (numbered.write.mode("overwrite").option("header", True).partitionBy(month_col, "part").csv(path))
+    return path
+
+
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column], partition_by: list[str] | None = None) -> dict:
+    """Parquet sink that evaluates the aggregates ``metrics`` over the rows while it writes them; returns their values.
+
+    No second read. Rows of a stage that Spark runs again after losing an executor are seen again, so use the figures
+    for reports and ``quality.file_row_counts`` for gates.
+    """
+    observation = Observation()
+    write_parquet(df.observe(observation, *[c.alias(name) for name, c in metrics.items()]), path, partition_by)
+    return observation.get
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One-string-column frame -> text lines (used for code-book style files)."""
     df.write.mode(mode).text(path)
