@@ -109,6 +109,37 @@ class KeyPacking:
         return short, value & np.uint64((1 << self.extra) - 1), counts
 
 
+class GapPacking(KeyPacking):
+    """The same, with the gaps between ascending keys in place of the keys: their upper bytes are mostly zero and vanish.
+
+    A payload is the number of its keys and the compressed bytes of its gaps, all lowest bytes first.
+    """
+
+    def pack(self, short: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        bucket = (short >> np.uint64(self.kept)).astype(np.int64)
+        low = short & np.uint64((1 << self.kept) - 1)
+        value = (low << np.uint64(self.extra)) | beside.astype(np.uint64)
+        starts = runs(bucket)
+        gap = np.diff(value, prepend=np.uint64(0))
+        gap[starts] = value[starts]
+        planes = gap.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :self.width]
+        return bucket[starts], pa.array([(hi - lo).to_bytes(4, "little") + packed_columns([planes[lo:hi].T])
+                                         for lo, hi in ranges(starts, len(short))], pa.binary())
+
+    def unpack(self, buckets: np.ndarray, payloads: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values, counts = [np.empty(0, np.uint64)], []
+        for payload in payloads.to_pylist():
+            n = int.from_bytes(payload[:4], "little")
+            planes = np.frombuffer(pa.decompress(payload[4:], n * self.width, codec="zstd", asbytes=True), np.uint8)
+            whole = np.zeros((n, 8), np.uint8)
+            whole[:, :self.width] = planes.reshape(self.width, n).T
+            values.append(np.cumsum(whole.view("<u8").reshape(-1), dtype=np.uint64))
+            counts.append(n)
+        value, counts = np.concatenate(values), np.array(counts, np.int64)
+        short = (np.repeat(buckets.astype(np.uint64), counts) << np.uint64(self.kept)) | (value >> np.uint64(self.extra))
+        return short, value & np.uint64((1 << self.extra) - 1), counts
+
+
 def runs(ordered: np.ndarray) -> np.ndarray:
     """Where each run of equal values of an ordered array starts."""
     if not len(ordered):

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entryclime.llm.blocks import KeyPacking, blocked, bucket_bits, input_bytes, mixed, ranges, runs
+from entryclime.llm.blocks import GapPacking, blocked, bucket_bits, input_bytes, mixed, ranges, runs
 from entryclime.session import write_stage
 
 SUPPORT = 10
@@ -145,7 +145,7 @@ def _block_phrases(table: pa.Table) -> tuple[list[str], Iterator[Phrases]]:
     return names, (Phrases(*batch, salt) for batch in _batches(texts, [number[x] for x in langs]))
 
 
-def _mine(packing: KeyPacking, most: int):
+def _mine(packing: GapPacking, most: int):
     """A block's different phrase hashes to their buckets, each with its count up to ``most``."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shorts, counts = [], []
@@ -165,7 +165,7 @@ def _mine(packing: KeyPacking, most: int):
     return run
 
 
-def _unite(packing: KeyPacking, shards: int, least: int, support: int):
+def _unite(packing: GapPacking, shards: int, least: int, support: int):
     """The hashes of a bucket that are frequent in any shard, to every block that holds them."""
     def run(table: pa.Table) -> pa.Table:
         buckets, blocks = table.column("bucket").to_numpy(), table.column("block").to_numpy()
@@ -204,7 +204,7 @@ def _equal(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, starts
 
 
-def _count(packing: KeyPacking):
+def _count(packing: GapPacking):
     """Exact counts of a block's candidate phrases, and of all its words (the empty phrase)."""
     def run(texts: pa.Table, chosen: pa.Table) -> pa.Table:
         united = np.sort(packing.unpack(chosen.column("bucket").to_numpy(), chosen.column("payload"))[0])
@@ -249,7 +249,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     least = -(-support // shards)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     total = input_bytes(docs, text)
-    packing = KeyPacking(bucket_bits(total), 36, support.bit_length())
+    packing = GapPacking(bucket_bits(total), 36, support.bit_length())
     texts = blocked(docs, [F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
                            text.alias("text")], total, parts=2)
     mined = texts.groupBy("_block").applyInArrow(_mine(packing, support), "bucket int, payload binary, block long")

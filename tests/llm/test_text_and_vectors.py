@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from entryclime.llm import blocks, collocations, decontaminate, suffix_dedup, vector_codes
@@ -177,3 +178,15 @@ def test_long_documents_are_searched_in_blocks(spark, monkeypatch):
     assert found() == got
     monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
     assert found() == got
+
+
+@pytest.mark.parametrize("packing", [blocks.KeyPacking(5, 36, 4), blocks.GapPacking(5, 36, 4), blocks.GapPacking(4, 40, 8)])
+def test_packed_keys_come_back(packing):
+    rng = np.random.default_rng(1)
+    keys = np.concatenate([rng.integers(0, 1 << 64, 5000, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+    short = np.unique(packing.short(keys))
+    beside = rng.integers(0, 1 << packing.extra, len(short)).astype(np.uint64)
+    buckets, payloads = packing.pack(short, beside)
+    got, also, counts = packing.unpack(buckets, pa.chunked_array([payloads]))
+    assert np.array_equal(got, short) and np.array_equal(also, beside) and counts.sum() == len(short)
+    assert len(packing.unpack(np.empty(0, np.int64), pa.chunked_array([], pa.binary()))[0]) == 0
