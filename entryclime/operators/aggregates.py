@@ -138,3 +138,20 @@ def top_n_share(counts: DataFrame, n: int, count_col: str, order: list[Column],
 def top_n_by(counts: DataFrame, group: str, n: int, order: list[Column], rank_col: str = "rank") -> DataFrame:
     """Top ``n`` rows of each ``group``; every task keeps its own top ``n`` before the exchange."""
     return ranked(counts, [group], order, rank_col).where(F.col(rank_col) <= n)
+
+
+#: Buckets of a distinct sketch as a power of two; its standard error is about 1.04 / sqrt(2^12) = 1.6 %.
+SKETCH_LOG2 = 12
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], col: str, log2: int = SKETCH_LOG2) -> DataFrame:
+    """Per key a mergeable sketch of the distinct values of ``col`` (nulls excluded): ``keys..., sketch``.
+
+    A few kilobytes a key at any number of rows. Kept per month, they answer for every range of months.
+    """
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(col, log2).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, keys: list[str], name: str = "n_distinct") -> DataFrame:
+    """Estimated distinct values over all sketches of a (coarser) key, without a read of the rows."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))

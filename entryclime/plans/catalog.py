@@ -835,6 +835,33 @@ def ordered_month_export(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path).select("year_month", "index", "o_orderkey")
 
 
+def quarantined_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as CSV lines, some with a text for the price or a field missing, read as good rows and a quarantine table."""
+    o = fx.table(spark, d, "orders")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("string")
+    line = (F.when(key % 10 == 0, F.concat_ws(",", key, F.lit("n/a"), "o_orderstatus"))
+            .when(key % 10 == 1, F.concat_ws(",", key, price)).otherwise(F.concat_ws(",", key, price, "o_orderstatus")))
+    path = writers.write_text(o.select(line), scratch_path(spark, "dirty"))
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_totalprice", DoubleType()),
+                         StructField("o_orderstatus", StringType())])
+    good, bad = readers.read_csv_checked(spark, path, schema, header=False)
+    rows = good.select(F.lit("good").alias("kind"), "o_orderkey").unionByName(
+        bad.select(F.col("reason").alias("kind"), F.split("record", ",")[0].cast("long").alias("o_orderkey")))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("sum_orderkey"))
+
+
+def distinct_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct customers per year from sketches kept per month, against the exact count."""
+    o = fx.table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").cast("long").alias("entry_year"),
+                                            F.month("o_orderdate").alias("entry_month"))
+    monthly = write_stage(agg.distinct_sketches(o, ["entry_year", "entry_month"], "o_custkey"), "distinct_sketches")
+    estimated = agg.merged_distinct(monthly, ["entry_year"], "_estimate")
+    exact = o.groupBy(F.col("entry_year").alias("_year")).agg(F.count_distinct("o_custkey").alias("n_customers"))
+    both = exact.join(estimated, F.col("entry_year") == F.col("_year"))
+    return both.select("entry_year", "n_customers",
+                       (F.abs(F.col("_estimate") - F.col("n_customers")) <= 0.05 * F.col("n_customers")).alias("within"))
+
+
 def sliced_load(spark: SparkSession, d: str) -> DataFrame:
     """Events loaded by day: first without every seventh event, then whole (late rows), then again; and by month."""
     e = fx.table(spark, d, "events").select("event_id", "ts", "user_id", "value")
@@ -1017,6 +1044,8 @@ QUERIES: dict[str, Query] = {
     "insert_fact": insert_fact,
     "insert_dimension": insert_dimension,
     "ordered_month_export": ordered_month_export,
+    "quarantined_scan": quarantined_scan,
+    "distinct_sketch": distinct_sketch,
     "sliced_load": sliced_load,
     "observed_fact_load": observed_fact_load,
     "file_row_counts": file_row_counts,

@@ -554,6 +554,10 @@ FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "ordered_month_export": """SELECT strftime(o_orderdate, '%Y-%m') AS year_month, row_number() OVER (
        PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_totalprice DESC, o_orderkey) - 1 AS index, o_orderkey
 FROM orders""",
+    "quarantined_scan": """SELECT CASE o_orderkey % 10 WHEN 0 THEN 'value' WHEN 1 THEN 'fields' ELSE 'good' END AS kind,
+       count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS sum_orderkey FROM orders GROUP BY 1""",
+    "distinct_sketch": """SELECT CAST(year(o_orderdate) AS BIGINT) AS entry_year, count(DISTINCT o_custkey) AS n_customers,
+       true AS within FROM orders GROUP BY 1""",
     "sliced_load": " UNION ALL ".join(
         f"""SELECT '{grain}' AS grain, strftime(ts, '{form}') AS slice, count(*) AS n_rows,
        CAST(sum(event_id) AS BIGINT) AS sum_event_id, bool_or(event_id % 7 = 0) AS replaced

@@ -10,9 +10,10 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from entryclime.functions import text
+from entryclime.session import write_stage
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, header: bool = True,
@@ -22,6 +23,28 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, hea
     return df.drop(*(drop or []))
 
 
+BAD_RECORD = "_bad_record"
+
+
+def read_csv_checked(spark: SparkSession, path: str | list[str], schema: StructType, header: bool = True,
+                     sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Headed or headerless CSV as its good rows and a quarantine table ``(file, reason, record)`` of all other lines.
+
+    A line is bad if it has too few or too many fields (reason ``fields``) or a field that is not of its type
+    (``value``). The files are parsed once, into a stage that both results read, so good and bad rows add up to the
+    lines. Separators inside quotes count as separators when the reason is told.
+    """
+    checked = StructType([*schema.fields, StructField(BAD_RECORD, StringType())])
+    raw = (spark.read.schema(checked).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", BAD_RECORD).csv(path))
+    parsed = write_stage(raw.withColumn("_file", F.col("_metadata.file_path")), "checked_lines")
+    fields = F.size(F.split(BAD_RECORD, f"\\Q{sep}\\E", -1))
+    bad = parsed.where(F.col(BAD_RECORD).isNotNull()).select(
+        F.col("_file").alias("file"), F.when(fields == len(schema), "value").otherwise("fields").alias("reason"),
+        F.col(BAD_RECORD).alias("record"))
+    return parsed.where(F.col(BAD_RECORD).isNull()).select(schema.names), bad
+
+
 def read_code_book(spark: SparkSession, path: str, sep: str = "\t=\t",
                    key: str = "code", value: str = "value") -> DataFrame:
     """Headerless ``'KEY' = 'VALUE'`` lines -> (key, value) with quotes and blanks removed."""

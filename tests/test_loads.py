@@ -6,11 +6,13 @@ import sys
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from entryclime.operators import aggregates as agg
 from entryclime.operators import dedup, keyfilter, quality
 from entryclime.plans import catalog, jobs
 from entryclime.session import scratch_path, shared_dir
-from entryclime.sources import releases, slices, writers
+from entryclime.sources import readers, releases, slices, writers
 from tests.conftest import rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -241,3 +243,26 @@ def test_a_cluster_needs_a_named_folder(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
     assert shared_dir(spark)
+
+
+# ------------------------------------------------------------------ bad records, sketches
+def test_bad_lines_are_kept_apart(spark):
+    lines = ["1;a;2.5", "x;b;1", "3;c", "4;d;1;2", "5;;", "", "6;e;n/a"]
+    path = writers.write_text(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1),
+                              scratch_path(spark, "bad_lines"))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType()),
+                           T.StructField("x", T.DoubleType())])
+    good, bad = readers.read_csv_checked(spark, path, schema, header=False, sep=";")
+    assert sorted(rows(good, "k", "t", "x")) == [(1, "a", 2.5), (5, None, None)]
+    assert sorted(rows(bad, "reason", "record")) == [("fields", "3;c"), ("fields", "4;d;1;2"), ("value", "6;e;n/a"),
+                                                    ("value", "x;b;1")]
+    assert all(r["file"].endswith(".txt") for r in bad.collect())
+
+
+def test_merged_sketches_stay_within_their_error(spark):
+    df = spark.range(60_000).select((F.col("id") % 3).alias("m"), (F.col("id") % 20_000 + F.col("id") % 3 * 5_000).alias("v"))
+    sketches = agg.distinct_sketches(df, ["m"], "v")
+    estimate = agg.merged_distinct(sketches, []).first()["n_distinct"]
+    exact = df.select("v").distinct().count()
+    assert abs(estimate - exact) <= 0.05 * exact
+    assert agg.merged_distinct(sketches.where("m < 0"), ["m"]).count() == 0
