@@ -151,7 +151,8 @@ def test_climate_window_reaches_the_scan(spark):
 
 WRITERS = {"csv_roundtrip", "delimited_scan", "partitioned_roundtrip", "multi_file_month_scan", "incremental_month_load",
            "drifting_month_scan", "json_stage_load", "insert_fact", "insert_dimension", "gate_counts", "quality_counts",
-           "full_pipeline"}
+           "full_pipeline", "fact_clean", "published_release", "ordered_month_export", "sliced_load", "observed_fact_load",
+           "file_row_counts", "quarantined_scan", "distinct_sketch"}
 
 
 def test_building_a_query_launches_no_job(spark):
