@@ -8,14 +8,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entryclime.operators.keyfilter import filter_words, mark_members, words_for
 from entryclime.session import write_stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Words of 64 flag bits in a membership filter: 2^17 rows of 16 bytes, so that its broadcast is 2 MB at any input size.
-FILTER_WORDS = 1 << 17
-#: Keys up to which such a filter leaves out most other rows: a quarter of its bits.
-FILTER_KEYS = FILTER_WORDS * 16
+#: Fewest words of 64 flag bits in a membership filter: 2^17 rows of 16 bytes, 2 MB to broadcast.
+LEAST_FILTER_WORDS = 1 << 17
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,45 +53,41 @@ def _unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def membership_words(keys: DataFrame, hashed: str) -> DataFrame:
-    """A Bloom filter of one hash over the longs in ``hashed``, as at most ``FILTER_WORDS`` rows (``_word``, ``_bits``)."""
-    return (keys.select(F.pmod(F.col(hashed), F.lit(FILTER_WORDS * 64)).alias("_at"))
-            .groupBy(F.shiftright("_at", 6).alias("_word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, int(_at & 63))")).alias("_bits")))
+class Membership:
+    """A filter over the different longs in ``hashed`` of a written table, of 2 MB to 16 MB by their number.
 
+    Beyond some 16 million keys it takes more and more foreign keys for members, up to all of them, and never misses a
+    key. What uses it takes the same way at every number of keys and is exact without it.
+    """
+
+    def __init__(self, keys: DataFrame, hashed: str, name: str):
+        self.words = max(LEAST_FILTER_WORDS, words_for(keys.count()))
+        self.filled = write_stage(filter_words(keys, hashed, self.words), name)
 
-def maybe_member(df: DataFrame, words: DataFrame, hashed: str, flag: str) -> DataFrame:
-    """Add ``flag``: whether the long ``hashed`` may be among the filter's keys (never false for a key)."""
-    words = words.select(F.col("_word").alias(f"{flag}_word"), F.col("_bits").alias(f"{flag}_bits"))  # its own columns
-    at = F.pmod(df[hashed], F.lit(FILTER_WORDS * 64))
-    joined = df.join(F.broadcast(words), F.shiftright(at, 6) == words[f"{flag}_word"], "left")
-    bit = F.call_function("shiftright", words[f"{flag}_bits"], at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1))
-    return joined.select(*[df[c] for c in df.columns], F.coalesce(bit == 1, F.lit(False)).alias(flag))
+    def mark(self, df: DataFrame, hashed: str, flag: str) -> DataFrame:
+        """Add ``flag``: whether the long ``hashed`` may be among the filter's keys (never false for a key)."""
+        return mark_members(df, self.filled, hashed, self.words, flag)
 
 
 def drop_rows(docs: DataFrame, out: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` without the rows keyed in ``out`` (``_id``, ``_h``); null ids compare as equal; columns unchanged.
 
-    The keys become a filter of fixed size first, so only rows that may be meant are exchanged with them and all
-    others stay in the task that scans them. From ``FILTER_KEYS`` keys on the filter says little, and all rows are
-    exchanged.
+    The keys become a filter of bounded size first, so only rows that may be meant are exchanged with them and all
+    others stay in the task that scans them. The plan is the same at any number of keys.
     """
     marked = write_stage(out.select(F.col("_id").alias("_out_id"), F.col("_h").alias("_out_h")).distinct(), "rows_out")
-    n = marked.count()
-    if not n:
+    if marked.isEmpty():
         return docs
 
     def without(rows: DataFrame) -> DataFrame:
         hit = rows[id_col].eqNullSafe(marked["_out_id"]) & (_text_hash(rows[text_col]) == marked["_out_h"])
         return rows.join(marked, hit, "left_anti")
 
-    if n > FILTER_KEYS:
-        return without(docs)
-    words = write_stage(membership_words(marked.select(F.xxhash64("_out_id", "_out_h").alias("_key")), "_key"),
-                        "rows_out_filter")
+    keys = marked.select(F.xxhash64("_out_id", "_out_h").alias("_key"))
+    members = Membership(keys, "_key", "rows_out_filter")
     key, flag = _unused(docs, "_key"), _unused(docs, "_maybe")
     keyed = docs.withColumn(key, F.xxhash64(docs[id_col], _text_hash(docs[text_col])))
-    split = maybe_member(keyed, words, key, flag).drop(key)
+    split = members.mark(keyed, key, flag).drop(key)
     return split.where(~F.col(flag)).drop(flag).unionByName(without(split.where(F.col(flag)).drop(flag)))
 
 

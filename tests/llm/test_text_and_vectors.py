@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from entryclime.llm import blocks, collocations, decontaminate, suffix_dedup, vector_codes
+from entryclime.llm import blocks, collocations, common, decontaminate, exact_dedup, suffix_dedup, vector_codes
 from entryclime.llm.oracle import ORACLE_SQL
 from entryclime.llm.queries import QUERIES
 from scripts.check_oracle import digest, norm
@@ -176,8 +176,68 @@ def test_long_documents_are_searched_in_blocks(spark, monkeypatch):
     assert [(d, i, m) for d, i, m, _, _ in got] == [(1, 1, 13), (1, 2, 2), (3, 1, 13)]
     monkeypatch.setattr(decontaminate, "BLOCK_TOKENS", 1 << 20)
     assert found() == got
-    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
-    assert found() == got
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert found() == got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r["_id"] for r in decontaminate.leaking(docs, bench).collect()) == [1, 3]
+
+
+def test_leaking_documents_are_those_of_the_pairs(spark):
+    """Random items of 1 to 30 words and documents with altered parts of them, short documents and cut items among them."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 5, 7, 8, 9, 10, 11, 12, 13, 14, 20, 30]))]
+             for _ in range(80)]
+    items = [w for w in items if len(w) > 2] + [["rare"], ["two", "words"]]
+    docs = []
+    for i in range(600):
+        part = list(rng.choice(items))
+        for _ in range(rng.randrange(5)):
+            part[rng.randrange(len(part))] = rng.choice(vocabulary)
+        cut = part[rng.randrange(3):len(part) - rng.randrange(3)]
+        around = [[rng.choice(vocabulary) for _ in range(rng.choice([0, 0, 1, 40]))] for _ in range(2)]
+        docs.append((i, " ".join([*around[0], *cut, *around[1]])))
+    docs += [(None, None), (700, ""), (701, "W1!")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    want = {r["doc_id"] for r in decontaminate.contaminated(df, bench).select("doc_id").distinct().collect()}
+    got = [r["_id"] for r in decontaminate.leaking(df, bench).collect()]
+    assert 100 < len(want) < 600 and len(got) == len(set(got)) and set(got) == want
+    assert decontaminate.leaking(df, bench.limit(0)).count() == 0
+
+
+def test_many_items_with_one_prompt(spark):
+    """10,000 items that share a prompt against 1,000 documents with it: no document meets the items one by one."""
+    prompt = " ".join(f"p{i}" for i in range(14))
+    bench = spark.range(10_000).selectExpr("id AS item_id", f"concat('{prompt} ', id, 'a ', id, 'b ', id, 'c') AS text")
+    altered = prompt.replace("p6", "other")
+    docs = spark.range(1500).selectExpr("id AS doc_id", "CASE WHEN id < 500 THEN concat('before ', id, ' "
+                                        f"{prompt}') WHEN id < 1000 THEN concat('{altered} after ', id) "
+                                        f"ELSE concat('p1 p2 p3 p4 p5 p6 ', id) END AS text")
+    got = [r["_id"] for r in decontaminate.leaking(docs, bench).collect()]
+    assert sorted(got) == list(range(1000))
+
+
+@pytest.mark.parametrize("words", [1, 1 << 10, 1 << 17])
+def test_rows_drop_alike_with_any_filter(spark, monkeypatch, words):
+    """A filter that takes all rows for members, one that takes some and one that takes almost none give equal rows."""
+    monkeypatch.setattr(common, "LEAST_FILTER_WORDS", 1)
+    monkeypatch.setattr(common, "words_for", lambda keys: words)
+    docs = spark.range(20_000).selectExpr("IF(id % 1000 = 3, NULL, id) AS doc_id", "concat('t', id % 7000) AS text",
+                                          "id AS _key", "id AS _maybe")
+    out = docs.where("_key % 3 = 0").select(*common.row_key("doc_id", "text"))
+    kept = common.drop_rows(docs, out, "doc_id", "text")
+    assert kept.columns == docs.columns
+
+    def key(i):  # rows with a null id are told apart by their texts
+        return (None if i % 1000 == 3 else i, i % 7000)
+
+    gone = {key(i) for i in range(0, 20_000, 3)}
+    assert sorted(r["_key"] for r in kept.select("_key").collect()) == [i for i in range(20_000) if key(i) not in gone]
+    copies = exact_dedup.exact_duplicates(docs)
+    assert copies.where("kept").count() == 7000 and copies.count() == 20_000
 
 
 @pytest.mark.parametrize("packing", [blocks.KeyPacking(5, 36, 4), blocks.GapPacking(5, 36, 4), blocks.GapPacking(4, 40, 8)])
