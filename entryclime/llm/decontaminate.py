@@ -200,15 +200,17 @@ def leaking(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         return docs.select(*row_key(id_col, text_col)).limit(0)
     items = bench.items.select(F.explode(_own_windows(bench.widths)).alias("_window")).distinct()
     forms = write_stage(_forms(items).select("_form", "_form2").distinct(), "benchmark_forms")
+    known = Membership(forms, "_form", "benchmark_forms_filter")
 
     hit = bench.seeds.select(F.col("_hash").alias("_seed")).distinct()
     around = _flat([F.when(F.col("_nth").isin([n for n, k in enumerate(bench.masks) if _serves(k, w)]), _windows_of(w))
                     for w in bench.widths])
+    key = [F.xxhash64("_window").alias("_key"), F.hash("_window").alias("_key2")]  # 96 bits stand for a window
     near = write_stage(bench.candidates(docs, id_col, text_col).join(hit, "_seed", "left_semi")
-                       .select("_id", "_h", F.explode(around).alias("_window")).distinct(), "document_windows")
-    sound = write_stage(_forms(near.select("_window").distinct()).join(forms, ["_form", "_form2"], "left_semi")
-                        .select("_window").distinct(), "sound_windows")
-    return near.join(sound, "_window", "left_semi").select("_id", "_h").distinct()
+                       .select("_id", "_h", F.explode(around).alias("_window")).select("*", *key), "document_windows")
+    tried = known.mark(_forms(near.select("_window").distinct()), "_form", "_maybe").where("_maybe")
+    sound = write_stage(tried.join(forms, ["_form", "_form2"], "left_semi").select(*key).distinct(), "sound_windows")
+    return near.select("_id", "_h", "_key", "_key2").join(sound, ["_key", "_key2"], "left_semi").select("_id", "_h").distinct()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
