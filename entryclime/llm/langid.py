@@ -38,42 +38,49 @@ FLOOR_TEXTS = 50
 LEAST_CLASS = 6
 MOST_CLASS = 31
 UNKNOWN = "und"
-_PIECE = 1 << 20
-_ROWS = 256
+#: Signs that are turned into grams at once, and texts: what a task holds besides its batch.
+_PIECE = 1 << 16
+_ROWS = 128
 _PICKS = 1 << 40
 
 
 @functools.lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Code points to themselves where they are letters, else to 0."""
-    return np.array([c if chr(c).isalpha() else 0 for c in range(0x110000)], np.uint32)
+    return np.fromiter((c if chr(c).isalpha() else 0 for c in range(0x110000)), np.uint32, 0x110000)
 
 
 def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Gram counts by bucket, a row per text, and letters per text."""
     counts = np.zeros((len(texts), DIM), np.float32)
     letters = np.zeros(len(texts), np.int64)
-    pieces = [(i, t[at:at + _PIECE + 2]) for i, t in enumerate(texts) for at in range(0, len(t), _PIECE)]
+    lowered = [t.lower() for t in texts]
+    pieces = [(i, at) for i, t in enumerate(lowered) for at in range(0, len(t), _PIECE)]
     start = 0
     while start < len(pieces):
-        end, size = start, 0
-        while end < len(pieces) and (end == start or size + len(pieces[end][1]) <= 2 * _PIECE):
-            size += len(pieces[end][1])
+        end, size, parts = start, 0, []
+        while end < len(pieces) and size < _PIECE:
+            i, at = pieces[end]
+            t, stop = lowered[i], at + _PIECE
+            # the signs before and after a piece are context only, so that texts count alike wherever they are cut
+            parts.append((t[at - 1] if at else "\n") + t[at:stop] + (t[stop] if stop < len(t) else "\n"))
+            size += len(parts[-1])
             end += 1
-        lowered = [t.lower() for _, t in pieces[start:end]]
-        owner = np.repeat([i for i, _ in pieces[start:end]], [len(t) + 1 for t in lowered])
-        codes = np.frombuffer(("\n" + "\n".join(lowered) + "\n").encode("utf-32-le", "replace"), "<u4")
-        s = _letters()[codes]
-        owner = np.concatenate([owner[:1], owner])
+        sizes = np.array([len(p) for p in parts])
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "replace"), "<u4")
+        s, owner, own_sign = _letters()[codes], np.repeat([i for i, _ in pieces[start:end]], sizes), np.ones(size, bool)
+        own_sign[np.cumsum(sizes) - 1] = own_sign[np.cumsum(sizes) - sizes] = False
         kept = np.flatnonzero((s != 0) | (np.concatenate([[1], s[:-1]]) != 0))  # runs of other signs become one gap
-        s, owner = s[kept].astype(np.uint64), owner[kept]
-        mid = np.flatnonzero(s)
-        a, b, c, own = s[mid - 1], s[mid], s[mid + 1], owner[mid].astype(np.int64) * DIM
+        s, owner, own_sign = s[kept].astype(np.uint64), owner[kept], own_sign[kept]
+        mid = np.flatnonzero((s != 0) & own_sign)
+        first, last = pieces[start][0], pieces[end - 1][0] + 1
+        a, b, c, own = s[mid - 1], s[mid], s[mid + 1], (owner[mid].astype(np.int64) - first) * DIM
         two = (b * np.uint64(0x9E3779B97F4A7C15) + c * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)
         three = (two + a * np.uint64(0xA0761D6478BD642F)) * np.uint64(0xE7037ED1A0B428DB)
         shift = np.uint64(64 - DIM.bit_length() + 1)
         for h in (two, three):
-            counts += np.bincount(own + (h >> shift).astype(np.int64), minlength=counts.size).reshape(counts.shape)
+            found = np.bincount(own + (h >> shift).astype(np.int64), minlength=(last - first) * DIM)
+            counts[first:last] += found.reshape(-1, DIM)
         letters += np.bincount(owner[mid], minlength=len(texts))
         start = end
     return counts, letters
