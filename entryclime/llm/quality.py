@@ -6,7 +6,7 @@ web text. With class prior p, logistic loss l and score z, the risk to minimise
     p * E_pos[l(z)] + max(0, E_unl[l(-z)] - p * E_pos[l(-z)])
 
 and a step that would make the second part negative (a sign of overfitting the positives) is shortened until it does
-not. Labels of bad documents are never used; the prior is estimated from positives and unlabelled text alone, as the
+not; where no length helps, a correcting step raises that part first. Labels of bad documents are never used; the prior is estimated from positives and unlabelled text alone, as the
 smallest ratio of their shares above a threshold of a positive-against-unlabelled score.
 
 Texts are reduced to ``len(FEATURES)`` numbers in the scan. Newton steps run on all training rows: a pass sums
@@ -182,6 +182,53 @@ def class_prior(train: DataFrame, mean: np.ndarray, std: np.ndarray, w: np.ndarr
     return float(np.clip(q_unl[best] / q_pos[best], 0.01, 0.99))
 
 
+def minimise(at: Callable[[np.ndarray], dict], prior: float, ridge: np.ndarray) -> np.ndarray:
+    """The weights of least non-negative risk that Newton steps find; ``at`` gives the sums of all rows for weights.
+
+    A step goes along the unbiased risk, shortened until the negative part stays sound (not below 0) and the risk falls.
+    Where no length does, the negative part holds the search back: the next step lowers the positives' part alone, along
+    the weights that leave the negative part as it is. Where that fails too, a correcting step raises the negative part
+    along its own gradient, and the search goes on from there. The best sound weights seen are returned.
+    """
+    def risk(s: dict, w: np.ndarray) -> tuple[float, float]:
+        negative = s["unl_neg"] - prior * s["pos_neg"]
+        return float(prior * s["pos_pos"] + max(0.0, negative) + w @ ridge @ w / 2), float(negative)
+
+    w = np.zeros(len(ridge))
+    s = at(w)
+    now, negative = risk(s, w)
+    best, best_w = now, w
+    corrected = False
+    for _ in range(STEPS):
+        curve = s["unl_curve"] + ridge
+        downhill = np.linalg.solve(curve, s["unl_grad"] - prior * s["pos_mean"] + ridge @ w)
+        slope = s["unl_grad"] - prior * s["pos_grad"]  # of the negative part
+        raising = -np.linalg.solve(curve, slope)
+        positives = np.linalg.solve(curve, prior * (s["pos_grad"] - s["pos_mean"]) + ridge @ w)
+        along = positives - (slope @ positives) / min(slope @ raising, -1e-12) * raising
+        moved = False
+        for step, correction in ((downhill, False), (along, False), (raising, True)):
+            if correction and corrected:
+                break  # two corrections on end: no step from here is sound
+            for halving in range(HALVINGS):
+                tried = w - step / 2 ** halving
+                t = at(tried)
+                then, negative_then = risk(t, tried)
+                if negative_then > negative if correction else negative_then >= 0 and then < now:
+                    moved = True
+                    break
+            if moved:
+                break
+        if not moved:
+            break
+        gain, w, s, now, negative, corrected = now - then, tried, t, then, negative_then, correction
+        if negative >= 0 and now < best:
+            best, best_w = now, w
+        if not correction and gain < 1e-6:
+            break
+    return best_w
+
+
 def fit(train: DataFrame) -> PuModel:
     """Minimise the non-negative risk over rows ``x`` (features) and ``positive``.
 
@@ -211,27 +258,7 @@ def fit(train: DataFrame) -> PuModel:
             break
     prior = class_prior(train, mean, std, w, n, m)
 
-    def risk(s: dict, w: np.ndarray) -> tuple[float, float]:
-        negative = s["unl_neg"] - prior * s["pos_neg"]
-        return float(prior * s["pos_pos"] + max(0.0, negative) + w @ ridge @ w / 2), float(negative)
-
-    w = np.zeros(k)
-    s = at(w)
-    now, _ = risk(s, w)
-    for _ in range(STEPS):
-        step = np.linalg.solve(s["unl_curve"] + ridge, s["unl_grad"] - prior * s["pos_mean"] + ridge @ w)
-        for halving in range(HALVINGS):
-            tried = w - step / 2 ** halving
-            t = at(tried)
-            then, negative = risk(t, tried)
-            if negative >= 0 and then < now:
-                break
-        else:
-            break  # every shorter step leaves the region where the estimate is sound
-        gain, w, s, now = now - then, tried, t, then
-        if gain < 1e-6:
-            break
-    return PuModel(mean, std, w, prior)
+    return PuModel(mean, std, minimise(at, prior, ridge), prior)
 
 
 # ------------------------------------------------------------------ documents

@@ -75,6 +75,47 @@ def test_class_prior_of_a_mixture(spark):
     assert (model.score(good) >= 0.5).mean() > 0.97 and (model.score(bad) < 0.5).mean() > 0.97
 
 
+def _plain_sums(x, positive):
+    """The sums that ``minimise`` asks for, of rows in memory."""
+    def at(w):
+        z, p = x @ w, positive
+        s, loss = 1 / (1 + np.exp(-z)), np.logaddexp(0, z)  # the loss of a row taken for negative
+        return {"unl_neg": loss.mean(), "pos_neg": loss[p].mean(), "pos_pos": (loss - z)[p].mean(),
+                "unl_grad": x.T @ s / len(x), "pos_mean": x[p].mean(axis=0), "pos_grad": x[p].T @ s[p] / p.sum(),
+                "unl_curve": (x * (s * (1 - s))[:, None]).T @ x / len(x)}
+    return at
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.6, 0.9])
+def test_risk_is_as_low_as_plain_descent(prior):
+    """Against the plain non-negative method: thousands of small steps down, or up where the negative part is below 0.
+
+    The right prior is 0.6. With 0.6 and 0.9 the negative part holds the steps back; to stop there left 0.12 and 0.55.
+    """
+    rng = np.random.default_rng(1)
+    x = np.column_stack([np.ones(200), np.vstack([rng.normal(1, 1, (120, 3)), rng.normal(-1, 1, (80, 3))])])
+    positive = np.arange(200) % 6 == 0
+    positive[120:] = False
+    at, ridge = _plain_sums(x, positive), 1e-3 * np.eye(4)
+
+    def risk(w):
+        s = at(w)
+        negative = s["unl_neg"] - prior * s["pos_neg"]
+        return prior * s["pos_pos"] + max(0, negative) + w @ ridge @ w / 2, negative
+
+    w, least = np.zeros(4), risk(np.zeros(4))[0]
+    for _ in range(3000):
+        s = at(w)
+        if s["unl_neg"] - prior * s["pos_neg"] >= 0:
+            w = w - 0.3 * (s["unl_grad"] - prior * s["pos_mean"] + ridge @ w)
+        else:
+            w = w + 0.3 * (s["unl_grad"] - prior * s["pos_grad"])
+        now, negative = risk(w)
+        least = min(least, now) if negative >= 0 else least
+    got, negative = risk(quality.minimise(at, prior, ridge))
+    assert negative >= 0 and got <= least + 0.025
+
+
 # ---------------------------------------------------------------- 2 token counts
 def _greedy(word, initial, continuing):
     n = at = 0
@@ -358,6 +399,60 @@ def test_language_held_out(spark):
     assert sum(r["rejected"] for r in rows) <= 0.002 * len(rows)
 
 
+def _grams(text):
+    """Letter bigrams and trigrams with word ends, one by one, by their bucket."""
+    from entryclime.llm import langid
+
+    signs, mask = [0], (1 << 64) - 1
+    for c in text.lower():
+        code = ord(c) if c.isalpha() else 0
+        if code or signs[-1]:
+            signs.append(code)
+    signs.append(0)
+    found = Counter()
+    for a, b, c in zip(signs, signs[1:], signs[2:], strict=False):
+        if b:
+            two = (b * 0x9E3779B97F4A7C15 + c * 0xC2B2AE3D27D4EB4F) * 0xD6E8FEB86659FD93 & mask
+            three = (two + a * 0xA0761D6478BD642F) * 0xE7037ED1A0B428DB & mask
+            for h in (two, three):
+                found[h * langid.DIM >> 64] += 1
+    return found
+
+
+@pytest.mark.parametrize("piece", [1, 7, 100, 1 << 16])
+def test_gram_counts_match_plain_ones_wherever_texts_are_cut(monkeypatch, piece):
+    from entryclime.llm import langid
+
+    monkeypatch.setattr(langid, "_PIECE", piece)
+    rng = random.Random(12)
+    texts = ["", "a", "  1 ", "İstanbul ΑΣ. Σ", "x\n\ny"] + ["".join(rng.choices("abcΣÉ 1.\nß中", k=n)) for n in (5, 60, 400)]
+    counts, letters = langid._counts(texts)
+    for i, text in enumerate(texts):
+        want = _grams(text)
+        assert {b: n for b, n in enumerate(counts[i].tolist()) if n} == want
+        assert letters[i] == sum(c.isalpha() for c in text.lower())
+
+
+def test_predictions_match_plain_cosines(spark):
+    """Frequencies, weights and the nearest centroid of every document, from dictionaries and single products."""
+    from entryclime.llm import langid
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    model = langid.fit(docs)
+    learned = [_grams(r["text"]) for r in docs.where("text IS NOT NULL AND lang IS NOT NULL").collect()]
+    seen = Counter(b for g in learned for b in g)
+    idf = [np.log((1 + len(learned)) / (1 + seen[b])) + 1 for b in range(langid.DIM)]
+    assert np.allclose(model.idf, idf, rtol=1e-5)
+    got = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    for d, text in rows:
+        v = {b: np.log1p(n) * idf[b] for b, n in _grams(text).items()}
+        norm_v = sum(x * x for x in v.values()) ** 0.5 or 1
+        cosines = [sum(x * float(c[b]) for b, x in v.items()) / norm_v for c in model.centroids]
+        assert abs(got[d]["score"] - max(cosines)) < 1e-4
+        assert max(c for c, x in zip(cosines, model.langs, strict=True) if x == got[d]["lang_pred"]) > max(cosines) - 1e-4
+
+
 def test_gibberish_is_rejected(spark):
     from entryclime.llm import langid
 
